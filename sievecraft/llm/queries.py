@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import quality, secrets
 from .common import table
 
 QUERIES = {
+    "op5_secret_scans": lambda spark, d: secrets.query(table(spark, d, "documents")),
     "op7_quality_rules": lambda spark, d: quality.query(table(spark, d, "documents")),
 }
 
