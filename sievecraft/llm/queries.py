@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import quality, secrets, simhash
+from . import bpe, quality, secrets, simhash
 from .common import table
 
 QUERIES = {
     "op1_simhash": lambda spark, d: simhash.query(table(spark, d, "documents")),
     "op5_secret_scans": lambda spark, d: secrets.query(table(spark, d, "documents")),
     "op7_quality_rules": lambda spark, d: quality.query(table(spark, d, "documents")),
+    "op8_bpe": lambda spark, d: bpe.query(table(spark, d, "documents")),
 }
 
 ORACLES: dict[str, str] = {}
