@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, quality, secrets, simhash
+from . import bpe, lines, packing, quality, secrets, simhash
 from .common import table
 
 QUERIES = {
     "op1_simhash": lambda spark, d: simhash.query(table(spark, d, "documents")),
     "op4_best_fit_packing": lambda spark, d: packing.query_best_fit(table(spark, d, "documents")),
     "op5_secret_scans": lambda spark, d: secrets.query(table(spark, d, "documents")),
+    "op6_line_dedup": lambda spark, d: lines.query(table(spark, d, "documents")),
     "op7_quality_rules": lambda spark, d: quality.query(table(spark, d, "documents")),
     "op8_bpe": lambda spark, d: bpe.query(table(spark, d, "documents")),
     "op9_token_output": lambda spark, d: packing.query_matrices(table(spark, d, "documents")),
