@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, lines, packing, quality, secrets, simhash
+from . import bpe, lines, packing, quality, secrets, simhash, urls
 from .common import table
 
 QUERIES = {
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_quality_rules": lambda spark, d: quality.query(table(spark, d, "documents")),
     "op8_bpe": lambda spark, d: bpe.query(table(spark, d, "documents")),
     "op9_token_output": lambda spark, d: packing.query_matrices(table(spark, d, "documents")),
+    "op10_url_filters": lambda spark, d: urls.query(table(spark, d, "pages"), table(spark, d, "labels")),
 }
 
 ORACLES: dict[str, str] = {}
