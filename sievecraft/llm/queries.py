@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, lines, packing, quality, secrets, simhash, urls
+from . import ann, bpe, lines, packing, pitman_yor, quality, secrets, simhash, urls
 from .common import table
 
 QUERIES = {
     "op1_simhash": lambda spark, d: simhash.query(table(spark, d, "documents")),
+    "op2_pitman_yor": lambda spark, d: pitman_yor.query(table(spark, d, "documents")),
     "op3_nearest_neighbours": lambda spark, d: ann.query(table(spark, d, "embeddings")),
     "op4_best_fit_packing": lambda spark, d: packing.query_best_fit(table(spark, d, "documents")),
     "op5_secret_scans": lambda spark, d: secrets.query(table(spark, d, "documents")),
