@@ -133,48 +133,65 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def stars(nodes: DataFrame, masks: list[int], radius: int, tree_size: int = 4096) -> DataFrame:
-    """u, v: for every shard, its groups of fingerprints linked within the radius, as stars around the least."""
-    keys = nodes.select("fp", F.explode(F.array(*(F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(_signed(m)).alias("key")) for i, m in enumerate(masks)))).alias("s")).select("fp", "s.mask", "s.key")
-    sizes = keys.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("mask").alias("m"), F.col("key").alias("k"), F.ceil(F.col("n") / tree_size).cast("int").alias("parts"))
-    dealt = keys.join(sizes, (F.col("mask") == F.col("m")) & (F.col("key") == F.col("k")))
-    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    dealt = dealt.select("mask", "key", "fp", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    dealt = dealt.select("mask", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "fp")
-    dealt = dealt.repartition("mask", "key", "low", "high").sortWithinPartitions("mask", "key", "low", "high", "part", "fp")
+def _stars(keys: DataFrame, radius: int, tree_size: int) -> DataFrame:
+    """keys: shard_a, shard_b (the shard), fp, id.  u, v: the ids linked within the radius in each shard, as stars."""
+    sizes = keys.groupBy("shard_a", "shard_b").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("shard_a").alias("a"), F.col("shard_b").alias("b"), F.ceil(F.col("n") / tree_size).cast("int").alias("parts"))
+    dealt = keys.join(sizes, (F.col("shard_a") == F.col("a")) & (F.col("shard_b") == F.col("b")))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("shard_a", "shard_b", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "fp", "id")
+    dealt = dealt.repartition("shard_a", "shard_b", "low", "high").sortWithinPartitions("shard_a", "shard_b", "low", "high", "part", "id")
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        group, tree, union = None, BKTree(), Union()
-        out_u: list[int] = []
-        out_v: list[int] = []
-
-        def close() -> None:
-            for x in union.parent:
-                if (root := union.find(x)) != x:
-                    out_u.append(x)
-                    out_v.append(root)
-
+        group, tree, ids, union = None, BKTree(), {}, Union()
+        out = _Stars()
         for batch in batches:
-            columns = (batch[c].tolist() for c in ("mask", "key", "low", "high", "part", "fp"))
-            for mask, key, low, high, part, fp in zip(*columns):
-                if (mask, key, low, high) != group:
-                    close()
-                    group, tree, union = (mask, key, low, high), BKTree(), Union()
+            columns = (batch[c].tolist() for c in ("shard_a", "shard_b", "low", "high", "part", "fp", "id"))
+            for shard_a, shard_b, low, high, part, fp, id_ in zip(*columns):
+                if (shard_a, shard_b, low, high) != group:
+                    out.add(union)
+                    group, tree, ids, union = (shard_a, shard_b, low, high), BKTree(), {}, Union()
                 value = fp & 0xFFFFFFFFFFFFFFFF
                 if low == high or part == high:
                     for x in tree.within(value, radius):
-                        union.join(fp, x if x < 1 << 63 else x - (1 << 64))
-                if part == low:
+                        union.join(id_, ids[x])
+                if part == low and ids.setdefault(value, id_) == id_:
                     tree.add(value)
-            if len(out_u) > 50_000:
-                yield pd.DataFrame({"u": out_u, "v": out_v}, dtype="int64")
-                out_u, out_v = [], []
-        close()
-        yield pd.DataFrame({"u": out_u, "v": out_v}, dtype="int64")
+            yield from out.full()
+        out.add(union)
+        yield out.frame()
 
     return dealt.mapInPandas(link, "u long, v long")
 
 
+class _Stars:
+    """Edges from the members of groups to their least, gathered for output."""
+
+    def __init__(self) -> None:
+        self.u: list[int] = []
+        self.v: list[int] = []
+
+    def add(self, union: Union) -> None:
+        for x in list(union.parent):
+            if (root := union.find(x)) != x:
+                self.u.append(x)
+                self.v.append(root)
+
+    def full(self, most: int = 50_000) -> Iterator[pd.DataFrame]:
+        if len(self.u) > most:
+            yield self.frame()
+
+    def frame(self) -> pd.DataFrame:
+        out = pd.DataFrame({"u": self.u, "v": self.v}, dtype="int64")
+        self.u, self.v = [], []
+        return out
+
+
+def stars(nodes: DataFrame, masks: list[int], radius: int, tree_size: int = 4096) -> DataFrame:
+    """u, v: for every shard, its groups of fingerprints linked within the radius, as stars around the least."""
+    each = F.explode(F.array(*(F.struct(F.lit(i).cast("long").alias("shard_a"), F.col("fp").bitwiseAND(_signed(m)).alias("shard_b")) for i, m in enumerate(masks))))
+    return _stars(nodes.select("fp", each.alias("s")).select("s.*", "fp", F.col("fp").alias("id")), radius, tree_size)
+
+
 def groups(prints: DataFrame, radius: int = 4, masks: list[int] | None = None, tree_size: int = 4096) -> DataFrame:
     """fp, low (least id that has it), component_id of every distinct fingerprint of ``prints`` (doc_id, fp)."""
     nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
@@ -191,6 +208,130 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFram
     return prints.join(found, prints["fp"] == found["of"]).select("doc_id", "fp", "component_id")
 
 
+# --- groups by the share of common shingles
+
+
+def _permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    return rng.integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, np.uint64)
+
+
+def band_keys(hashes: np.ndarray, bands: int, rows: int) -> list[int]:
+    """A key for each band of min-hashes: two sets share one with the chance of their similarity to the power of rows."""
+    if not len(hashes):
+        return [0] * bands
+    a, b = _permutations(bands * rows)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(hashes), 4096):  # a block stays in the cache
+        part = hashes[i : i + 4096]
+        for k in range(bands * rows):
+            mixed = part * a[k] + b[k]
+            least[k] = min(least[k], mixed.min())
+    return [int(x) for x in np.frombuffer(b"".join(xxhash.xxh64_digest(least[k * rows : (k + 1) * rows].tobytes()) for k in range(bands)), "<i8")]
+
+
+def _contents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, content (of the lower-cased words), fp, bands of every row."""
+
+    @F.pandas_udf("struct<content binary, fp long, bands array<long>>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        out, seen = [], {}
+        for t in texts:
+            raw = t.encode().lower()
+            content = xxhash.xxh3_128_digest(b" ".join(raw.split()))
+            if content not in seen:
+                hashes = shingle_hashes(raw, size)
+                seen[content] = (fingerprint(hashes), band_keys(np.unique(hashes), bands, rows))
+            out.append((content, *seen[content]))
+        return pd.DataFrame(out, columns=["content", "fp", "bands"])
+
+    return docs.select("doc_id", of(F.coalesce("text", F.lit(""))).alias("x")).select("doc_id", "x.*")
+
+
+def _alike(members: DataFrame, size: int, similarity: float, part_size: int) -> DataFrame:
+    """members: root, n (how many share it), id, text.  u, v: those of one root whose sets of shingles are alike, as stars.
+
+    Roots with many members are cut into parts, and every pair of parts is compared in a task of its own.
+    """
+    dealt = members.withColumn("parts", F.ceil(F.col("n") / part_size).cast("int"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "text")
+    dealt = dealt.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "part", "id")
+
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, union, out = None, Union(), _Stars()
+        held: dict[int, list[int]] = {}  # of the part that is searched: shingle to places
+        ids: list[int] = []
+        sizes: list[int] = []
+        for batch in batches:
+            for root, low, high, part, id_, text in zip(*(batch[c].tolist() for c in ("root", "low", "high", "part", "id", "text"))):
+                if (root, low, high) != group:
+                    out.add(union)
+                    group, union, held, ids, sizes = (root, low, high), Union(), {}, [], []
+                own = np.unique(shingle_hashes(text.encode(), size)).tolist()
+                if ids and (low == high or part == high):
+                    places = [held[h] for h in own if h in held]
+                    if places:
+                        common = np.bincount(np.concatenate([np.array(p) for p in places]), minlength=len(ids))
+                        for k in np.flatnonzero(common >= similarity * (len(own) + np.array(sizes) - common) - 1e-9).tolist():
+                            union.join(id_, ids[k])
+                if part == low:
+                    for h in own:
+                        held.setdefault(h, []).append(len(ids))
+                    ids.append(id_)
+                    sizes.append(len(own))
+            yield from out.full()
+        out.add(union)
+        yield out.frame()
+
+    return dealt.mapInPandas(link, "u long, v long")
+
+
+def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 24, bands: int = 20, rows: int = 4, tree_size: int = 4096, part_size: int = 1000) -> DataFrame:
+    """content, n_rows, id, component_id of every distinct content (lower-cased words) of ``docs``.
+
+    Two contents are linked if their sets of ``size``-word shingles have at least ``similarity`` in common (of those in
+    either).  BK-trees over the fingerprints of all that share a band of min-hashes find the candidates; at 0.8, twenty
+    bands of four miss 3 links of 100,000, and fewer are further apart than ``radius`` bits.  Candidates only decide
+    which texts meet; the shingles themselves decide what is linked.
+    """
+    found = saved(_contents(docs, size, bands, rows))
+    # a content's id is its least document id; one without any gets a number of its own
+    contents = found.groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_rows"), F.min("fp").alias("fp"), F.min("bands").alias("bands"))
+    nodes = saved(contents.withColumn("id", F.coalesce(F.col("low").cast("long"), F.xxhash64("content"))))
+    keys = nodes.select(F.posexplode("bands").alias("shard_a", "shard_b"), "fp", "id").withColumn("shard_a", F.col("shard_a").cast("long"))
+    near = components(_stars(keys, radius, tree_size))
+    near = saved(near.union(near.select("root", "root").distinct()))
+    sizes = near.groupBy(F.col("root").alias("of")).agg(F.count("*").alias("n"))
+    met = near.join(sizes, F.col("root") == F.col("of")).select("node", "root", "n")
+    met = met.join(nodes.select("id", "content", "low"), F.col("node") == F.col("id")).select("root", "n", "id", F.col("content").alias("its"), F.col("low").alias("its_low"))
+    # the text of one row of each content: that of its least id; rows that repeat are the same text
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    with_text = texts.join(met, F.col("doc_id") == F.col("its_low")).select("root", "n", "id", "its", "text")
+    alike = components(_alike(with_text, size, similarity, part_size))
+    rooted = nodes.join(alike.withColumnRenamed("root", "to"), nodes["id"] == F.col("node"), "left").select("content", "n_rows", "low", "id", F.coalesce("to", "id").alias("root"))
+    ids = rooted.groupBy(F.col("root").alias("of")).agg(F.min("low").alias("component_id"))
+    return rooted.join(ids, F.col("root") == F.col("of")).select("content", "n_rows", "low", "id", "root", "component_id")
+
+
+def stage(docs: DataFrame) -> DataFrame:
+    """One document of each group of similar documents: that with the least id."""
+    columns = docs.columns
+    groups = saved(similar_groups(docs))
+    kept = groups.filter(F.col("id") == F.col("root")).select(F.col("content").alias("kept_content"), F.col("low").alias("kept_low"), "n_rows")
+
+    @F.pandas_udf("binary")
+    def content(texts: pd.Series) -> pd.Series:
+        return pd.Series([xxhash.xxh3_128_digest(b" ".join(t.encode().lower().split())) for t in texts], dtype=object)
+
+    out = docs.withColumn("own_content", content(F.coalesce("text", F.lit(""))))
+    out = out.join(kept, (F.col("own_content") == F.col("kept_content")) & F.col("doc_id").eqNullSafe(F.col("kept_low")))
+    # rows with the same id and content are left by repeats only; they are split off, so that the rest isn't shuffled
+    single = out.filter("n_rows = 1").select(columns)
+    repeated = out.filter("n_rows > 1").dropDuplicates(["own_content"]).select(columns)
+    return single.unionByName(repeated)
+
+
 def hex16(fp: Column | str) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
