@@ -17,14 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that a lost executor costs no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all machines of a cluster share; a local one only where that is unset (tests)."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sievecraft-checkpoint-"))
+        folder = context.getCheckpointDir()
+    return folder
+
 
-    The folder is the session's ``spark.checkpoint.dir``; a local one is set only where that is unset (tests).
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sievecraft-checkpoint-"))
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
