@@ -22,15 +22,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, saved, whole_text
+from .common import saved, whole_text
 
-_LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
-
-
-def line_key(line: str, least: int) -> bytes | None:
-    """16 bytes for the line's key; None if it is shorter than ``least`` code points."""
-    key = line.strip(SPACE)
-    return xxhash.xxh3_128_digest(key.translate(_LOWER) if not key.islower() else key) if len(key) >= least else None
+def line_key(line: bytes, least: int) -> bytes | None:
+    """16 bytes for the key of a line in UTF-8; None if the key is shorter than ``least`` code points."""
+    key = line.strip()  # of bytes: the white space of the contract
+    if len(key) < 4 * least and len(key.decode()) < least:
+        return None
+    return xxhash.xxh3_128_digest(key.lower())
 
 
 class CuckooFilter:
@@ -126,7 +125,7 @@ def document_keys(docs: DataFrame, least: int = 20, text: str = "text") -> DataF
 
     @F.pandas_udf("array<binary>")
     def keys(texts: pd.Series) -> pd.Series:
-        return pd.Series([list({k for line in t.split("\n") if (k := line_key(line, least))}) for t in texts], dtype=object)
+        return pd.Series([list({k for line in t.encode().split(b"\n") if (k := line_key(line, least))}) for t in texts], dtype=object)
 
     return docs.select("doc_id", keys(whole_text(text)).alias("keys"))
 
@@ -258,13 +257,12 @@ def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
     def kept(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
         out = []
         for t, keys in zip(texts, gone):
-            lines = t.split("\n")
             if keys is None:
-                out.append((len(lines), 0, t))
+                out.append((t.count("\n") + 1, 0, t))
                 continue
-            held = set(keys)
+            lines, held = t.encode().split(b"\n"), set(keys)
             stay = [line for line in lines if line_key(line, least) not in held]
-            out.append((len(lines), len(lines) - len(stay), "\n".join(stay)))
+            out.append((len(lines), len(lines) - len(stay), b"\n".join(stay).decode()))
         return pd.DataFrame(out, columns=["n", "dropped", "text"])
 
     gone = index.dropped(docs).select(F.col("doc_id").alias("gone_id"), "gone")
