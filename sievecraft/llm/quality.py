@@ -52,7 +52,8 @@ def word_chars(text: Column) -> Column:
 
 
 def symbol_count(text: Column, symbols: str = SYMBOLS) -> Column:
-    return F.length(text) - F.length(F.translate(text, symbols, ""))
+    """Counted only where there are any, as most texts have none."""
+    return F.when(text.rlike(f"[{symbols}]"), F.length(text) - F.length(F.translate(text, symbols, ""))).otherwise(0)
 
 
 def lines_with_words(text: Column) -> Column:
@@ -63,9 +64,11 @@ def repeat_words(w: Column) -> Column:
     """How many words stand in 3-word windows that the text has twice or more.
 
     Equal windows become neighbours by sorting "w1 w2 w3 index"; words have no spaces, so windows are equal just
-    when all before the last space is.  Most texts repeat no window and skip the sort.
+    when all before the last space is.  Most texts repeat no window and skip the sort: their windows' hashes all differ.
     """
-    windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.concat_ws(" ", w[i], w[i + 1], w[i + 2]))
+    over = lambda f: F.transform(F.sequence(F.lit(0), F.size(w) - 3), f)
+    hashes = over(lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
+    indexed = over(lambda i: F.concat_ws(" ", w[i], w[i + 1], w[i + 2], F.lpad(i.cast("string"), 9, "0")))
 
     def covered(s: Column) -> Column:
         keys = F.transform(s, lambda x: F.substring_index(x, " ", 3))
@@ -84,57 +87,59 @@ def repeat_words(w: Column) -> Column:
             ),
         )
 
-    def counted(v: Column) -> Column:
-        indexed = F.transform(v, lambda x, i: F.concat_ws(" ", x, F.lpad(i.cast("string"), 9, "0")))
-        return F.when(F.size(F.array_distinct(v)) == F.size(v), F.lit(0)).otherwise(let(F.sort_array(indexed), covered))
-
-    return F.when(F.size(w) < 4, F.lit(0)).otherwise(let(windows, counted))
+    differ = let(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
+    return F.when(F.size(w) < 4, 0).when(differ, 0).otherwise(let(F.sort_array(indexed), covered))
 
 
 def line_fails(line: Column, rules: Rules) -> Column:
-    """Punctuation, navigation and boilerplate rules for one line that has a word."""
-    n = F.size(words(line))
+    """Punctuation, navigation and boilerplate rules for one line that has a word; what is rare is asked first."""
+    n = lambda: F.size(words(line))
     separators = F.length(line) - F.length(F.translate(line, "|»›•", ""))
-    bangs = F.regexp_count(line, F.lit("[!?]{2}"))
-    low = F.lower(line)
-    phrase = F.lit(False)
+    phrase, low = F.lit(False), F.lower(line)
     for x in rules.boilerplate:
         phrase = phrase | low.contains(x)
     return (
-        (symbol_count(line) * 100 > word_chars(line) * rules.max_symbol_percent)
-        | ((separators >= rules.nav_separators) & (n <= (separators + 1) * rules.nav_words))
-        | (bangs * 100 > n * rules.max_bang_percent)
-        | (phrase & (n <= rules.boilerplate_words))
+        (line.rlike(f"[{SYMBOLS}]") & (symbol_count(line) * 100 > word_chars(line) * rules.max_symbol_percent))
+        | (line.rlike("[|»›•]") & (separators >= rules.nav_separators) & (n() <= (separators + 1) * rules.nav_words))
+        | ((line.contains("!!") | line.contains("??") | line.contains("!?") | line.contains("?!")) & (F.regexp_count(line, F.lit("[!?]{2}")) * 100 > n() * rules.max_bang_percent))
+        | (phrase & (n() <= rules.boilerplate_words))
     )
 
 
+def failing(text: Column, rules: Rules) -> Column:
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(_WORD) & line_fails(x, rules))
+
+
 def clean_lines(docs: DataFrame, rules: Rules = Rules(), text: str = "text", prefix: str = "quality_") -> DataFrame:
     """``docs`` with ``<prefix>text`` (what stays), ``<prefix>lost_chars`` and ``<prefix>lines_failed``."""
-    out = f"{prefix}text"
     t = whole_text(text)
-    kept = F.filter(F.split(t, "\n"), lambda x: ~(x.rlike(_WORD) & line_fails(x, rules)))
-    clean = docs.withColumn(out, F.array_join(kept, "\n"))
-    return clean.withColumns({f"{prefix}lost_chars": (word_chars(t) - word_chars(F.col(out))).cast("long"), f"{prefix}lines_failed": (F.size(F.split(t, "\n")) - F.size(F.split(F.col(out), "\n"))).cast("long")})
+    lost = lambda x: F.struct(F.size(x).cast("long").alias("n"), F.aggregate(x, F.lit(0).cast("long"), lambda a, y: a + word_chars(y)).alias("chars"))
+    out = docs.withColumn(f"{prefix}failed", let(failing(t, rules), lost))
+    kept = F.array_join(F.filter(F.split(t, "\n"), lambda x: ~(x.rlike(_WORD) & line_fails(x, rules))), "\n")
+    failed = F.col(f"{prefix}failed")
+    return out.withColumns({f"{prefix}text": F.when(failed["n"] == 0, t).otherwise(kept), f"{prefix}lost_chars": failed["chars"], f"{prefix}lines_failed": failed["n"]}).drop(f"{prefix}failed")
 
 
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", prefix: str = "quality_") -> DataFrame:
     """``clean_lines`` with the counts, ``<prefix>base_failed`` and ``<prefix>kept`` of every document."""
     t = whole_text(text)
     col = lambda x: F.col(prefix + x)
-    lines = lines_with_words(t)
     counts = let(
         words(t),
-        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeat_words(w).cast("long").alias("n_repeat_words")),
+        lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"),
+            repeat_words(w).cast("long").alias("n_repeat_words"),
+        ),
     )
     out = clean_lines(docs, rules, text, prefix).withColumns(
         {
             f"{prefix}counts": counts,
-            f"{prefix}word_chars": word_chars(t).cast("long"),
             f"{prefix}n_symbols": symbol_count(t).cast("long"),
-            f"{prefix}n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
+            f"{prefix}n_dup_lines": let(lines_with_words(t), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         }
     )
-    out = out.withColumns({f"{prefix}n_words": col("counts")["n_words"], f"{prefix}n_repeat_words": col("counts")["n_repeat_words"]}).drop(f"{prefix}counts")
+    out = out.withColumns({f"{prefix}{x}": col("counts")[x] for x in ("n_words", "word_chars", "n_repeat_words")}).drop(f"{prefix}counts")
     out = out.withColumn(f"{prefix}base_failed", (col("n_words") < rules.min_words) | (100 * col("n_repeat_words") > rules.max_repeat_percent * col("n_words")))
     return out.withColumn(f"{prefix}kept", ~col("base_failed") & (100 * col("lost_chars") <= rules.max_lost_percent * col("word_chars")))
 
