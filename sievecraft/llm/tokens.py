@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters on whose classes all Unicode versions and engines agree: Latin, punctuation, currency.
-_PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa0-ɏ‐-‧‰-⁞€]*")
+_PLAIN = re.compile("[\\t-\\r\\x20-\\x7e\\xa0-\\u024f\\u2010-\\u2027\\u2030-\\u205e\\u20ac]*")
 _GPT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
