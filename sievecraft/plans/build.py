@@ -69,7 +69,7 @@ def preview(hits: DataFrame, state: dict[str, DataFrame], cfg: Config) -> tuple[
     merged = merge(state, judged)
     candidates = pool(merged)
     chosen, skipped = select(candidates, state, cfg)
-    counts = judged.agg(F.count("*"), F.count_if("reason <> 'accepted'")).first()
+    counts = judged.agg(F.count("*"), F.count_if(F.col("reason") != "accepted")).first()
     out = chosen.orderBy("place").select("full_name", "stars", F.col("r.license.spdx_id").alias("license"), F.array_join("query_names", ",").alias("queries"))
     return out, {"candidate_results": counts[0], "repositories_rejected": counts[1], "unique_candidates": candidates.count(), "repositories_skipped_previously_crawled": skipped, "repositories_selected": chosen.count()}
 
@@ -131,7 +131,7 @@ def build(spark: SparkSession, cfg: Config, hits: DataFrame, repository_files, p
         return Run(none, none, stats)
 
     judged = discover(hits, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-    counts = judged.agg(F.count("*"), F.count_if("reason = 'accepted'"), F.count_if("reason <> 'accepted'")).first()
+    counts = judged.agg(F.count("*"), F.count_if(F.col("reason") == "accepted"), F.count_if(F.col("reason") != "accepted")).first()
     stats |= dict(zip(("candidate_results", "repositories_accepted", "repositories_rejected"), counts))
     stats["repositories_found"] = stats["candidate_results"]
     state = merge(state, judged)

@@ -1,0 +1,93 @@
+"""Repositories, state transitions and snapshots."""
+
+from pyspark.sql import functions as F
+
+from sievecraft.config import RepositoryFilter
+from sievecraft.operators import repositories
+from sievecraft.schemas import STATE
+from sievecraft.state import transitions
+from sievecraft.state.snapshots import Snapshots
+
+REPO = "full_name string, status string, last_error string"
+
+
+def test_state_persists(spark, tmp_path):
+    store = Snapshots(spark, f"file://{tmp_path}/state")
+    assert store.versions() == [] and store.read()["repositories"].count() == 0
+    now = F.current_timestamp()
+    repo = spark.createDataFrame([("a/b", "crawled")], "full_name string, status string")
+    repo = repo.select("full_name", "status", *(F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in STATE["repositories"].split(", ")[2:])))
+    hashes = spark.range(1).select(F.lit("exact").alias("hash_type"), F.lit("h1").alias("hash_value"), F.lit("a/b").alias("repository"), F.lit("x.py").alias("file_path"), F.lit("train").alias("split"), now.alias("created_at"))
+    store.commit({"repositories": repo, "code_hashes": hashes})
+    again = Snapshots(spark, f"file://{tmp_path}/state").read()
+    assert [(r.full_name, r.status) for r in again["repositories"].collect()] == [("a/b", "crawled")]
+    assert [r.hash_value for r in again["code_hashes"].collect()] == ["h1"]
+    for _ in range(3):
+        store.commit({})
+    assert store.versions() == [3, 4] and store.read()["code_hashes"].count() == 1
+    store.reset()
+    assert store.versions() == []
+
+
+def test_an_unfinished_version_does_not_count(spark, tmp_path):
+    store = Snapshots(spark, f"file://{tmp_path}/state")
+    store.commit({})
+    (tmp_path / "state" / "v=2" / "repositories").mkdir(parents=True)
+    assert store.versions() == [1] and store.commit({}) == 2
+
+
+def test_recovery_and_marks(spark):
+    rows = spark.createDataFrame([("a", "processing", None), ("b", "crawled", None), ("c", "failed", "old"), ("d", "new", None)], REPO)
+    assert {r.full_name: r.status for r in transitions.recover(rows).collect()} == {"a": "new", "b": "crawled", "c": "failed", "d": "new"}
+    failed = transitions.mark(rows, spark.createDataFrame([("d", "e" * 3000)], "full_name string, error string"), "failed")
+    assert {r.full_name: (r.status, len(r.last_error or "")) for r in failed.collect()}["d"] == ("failed", 2000)
+    crawled = transitions.mark(rows, spark.createDataFrame([("c", None)], "full_name string, error string"), "crawled")
+    assert {r.full_name: (r.status, r.last_error) for r in crawled.collect()}["c"] == ("crawled", None)
+
+
+def test_unfinished_takes_failed_again(spark):
+    rows = spark.createDataFrame([("a", "new"), ("b", "crawled"), ("c", "failed"), ("d", "processing")], "full_name string, status string")
+    hits = spark.createDataFrame([("a", "q1"), ("a", "q2"), ("a", "q1"), ("b", "q1")], "full_name string, query_name string")
+    assert {r.full_name: r.query_names for r in repositories.unfinished(rows, hits).collect()} == {"a": ["q1", "q2"], "c": []}
+
+
+def test_upsert_keeps_status(spark):
+    stored = spark.createDataFrame([("a", "crawled", 1), ("b", "new", 2)], "full_name string, status string, stars long")
+    found = spark.createDataFrame([("a", 10), ("c", 30)], "full_name string, stars long")
+    assert {tuple(r) for r in transitions.upsert(stored, found).collect()} == {("a", "crawled", 10), ("b", "new", 2), ("c", "new", 30)}
+
+
+def test_changed_query_begins_anew(spark):
+    rows = spark.createDataFrame([("q", "old text", 7, True, None)], STATE["query_progress"])
+    assert transitions.progress(rows, "q", "old text") == (7, True)
+    assert transitions.progress(rows, "q", "new text") == (1, False)
+    assert transitions.progress(rows, "other", "old text") == (1, False)
+    after = transitions.set_progress(rows, spark.createDataFrame([("q", "new text", 2, False, None)], STATE["query_progress"]))
+    assert transitions.progress(after, "q", "new text") == (2, False) and after.count() == 1
+
+
+def test_register_keeps_the_first(spark):
+    none = spark.createDataFrame([], STATE["code_hashes"])
+    accepted = spark.createDataFrame([("r", "b.py", "train", "e1", "s1"), ("r", "a.py", "train", "e2", "s1")], "repository string, file_path string, split string, exact_hash string, structural_hash string")
+    once = transitions.register(none, accepted, True)
+    assert {(r.hash_type, r.hash_value, r.file_path) for r in once.collect()} == {("exact", "e1", "b.py"), ("exact", "e2", "a.py"), ("structural", "s1", "a.py")}
+    assert transitions.register(once, accepted, True).count() == 3
+    assert transitions.register(none, accepted, False).count() == 2
+
+
+def test_repository_filter(spark):
+    cfg = RepositoryFilter(10, 2048, frozenset({"MIT"}))
+    import json
+
+    base = {"full_name": "o/n", "name": "n", "owner": {"login": "o"}, "stargazers_count": 50, "size": 2, "fork": False, "archived": False, "license": {"spdx_id": "MIT"}}
+    changes = [({}, "accepted"), ({"fork": True, "archived": True}, "fork"), ({"archived": True}, "archived"), ({"stargazers_count": 9}, "stars"), ({"size": 3}, "repository_size"), ({"size": None}, "accepted"), ({"license": None}, "missing_license"), ({"license": {"spdx_id": "GPL"}}, "license:GPL"), ({"license": {"spdx_id": None}}, "license:unknown")]
+    rows = [("q", 1, i, json.dumps(base | {"full_name": f"o/{i}"} | c)) for i, (c, _) in enumerate(changes)] + [("q", 1, 99, "{broken")]
+    got = repositories.judge(repositories.parse(spark.createDataFrame(rows, "query_name string, page long, position long, repo string")), cfg).collect()
+    assert {r.position: r.reason for r in got} == {i: reason for i, (_, reason) in enumerate(changes)}
+    free = repositories.judge(repositories.parse(spark.createDataFrame(rows[6:7], "query_name string, page long, position long, repo string")), RepositoryFilter(10, 2048, frozenset(), require_license=False))
+    assert free.first().reason == "accepted"
+
+
+def test_identity(spark):
+    rows = spark.createDataFrame([("a/b", "x", "y"), ("", "x", "y"), (None, None, "y")], "f string, l string, n string")
+    assert [r[0] for r in rows.select(repositories.identity(F.col("f"), F.col("l"), F.col("n"))).collect()] == ["a/b", "x/y", "None/y"]
