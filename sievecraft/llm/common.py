@@ -47,3 +47,19 @@ def shards(df: DataFrame, size: Column, per_shard: int) -> int:
     """How many shards of about ``per_shard`` units the rows of ``df`` make; one at least."""
     total = df.agg(F.sum(size.cast("double"))).first()[0] or 0
     return max(1, -(-int(total) // per_shard))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` as row_ (the whole row), doc_id and text (null as empty), so that no other column can clash with ours."""
+    return docs.select(F.struct(*docs.columns).alias("row_"), "doc_id", whole_text().alias("text"))
+
+
+def unpacked(found: DataFrame, columns: list[str], changed: Column | None = None, text: Column | None = None) -> DataFrame:
+    """The rows as they were; where ``changed`` holds, with another ``text`` and its length as n_chars."""
+    row = {c: F.col("row_")[c] for c in columns}
+    if changed is not None:
+        kinds = {f.name: f.dataType for f in found.schema["row_"].dataType}
+        row["text"] = F.when(changed, text).otherwise(row["text"])
+        if "n_chars" in row:
+            row["n_chars"] = F.when(changed, F.length(text).cast(kinds["n_chars"])).otherwise(row["n_chars"])
+    return found.select(*(x.alias(c) for c, x in row.items()))

@@ -9,7 +9,8 @@ are joined, with the same result.
 
 Results for special cases: a null or empty text is one empty line, which is too short to be dropped; a document is all
 rows of one doc_id (null: a document of its own, the smallest); repeated rows count once and each get their row; of
-several rows of the keeper every row keeps its lines; other columns pass through ``drop_lines`` untouched.
+several rows of the keeper every row keeps its lines; other columns pass through ``stage`` untouched, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, whole_text
+from .common import packed, saved, unpacked, whole_text
 
 def line_key(line: bytes, least: int) -> bytes | None:
     """16 bytes for the key of a line in UTF-8; None if the key is shorter than ``least`` code points."""
@@ -250,7 +251,7 @@ class LineIndex:
 
 
 def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
-    """``docs`` with lines_n, lines_dropped and lines_text, the text that stays."""
+    """row_ (the whole row), doc_id, lines_n, lines_dropped and lines_text, the text that stays."""
     least = index.least
 
     @F.pandas_udf("struct<n long, dropped long, text string>")
@@ -266,19 +267,15 @@ def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
         return pd.DataFrame(out, columns=["n", "dropped", "text"])
 
     gone = index.dropped(docs).select(F.col("doc_id").alias("gone_id"), "gone")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").withColumn("lines", kept(whole_text("text"), "gone"))
-    return joined.select(*docs.columns, F.col("lines.n").alias("lines_n"), F.col("lines.dropped").alias("lines_dropped"), F.col("lines.text").alias("lines_text"))
+    joined = packed(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").withColumn("lines", kept("text", "gone"))
+    return joined.select("row_", "doc_id", F.col("lines.n").alias("lines_n"), F.col("lines.dropped").alias("lines_dropped"), F.col("lines.text").alias("lines_text"))
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """``docs`` without the lines that other documents keep; a document that loses all its text goes."""
-    columns = docs.columns
     out = drop_lines(docs, LineIndex.of(docs))
     out = out.filter((F.col("lines_dropped") == 0) | F.col("lines_text").rlike(r"[^\x20\x09-\x0D]"))
-    out = out.withColumn("text", F.when(F.col("lines_dropped") > 0, F.col("lines_text")).otherwise(F.col("text")))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(columns)
+    return unpacked(out, docs.columns, F.col("lines_dropped") > 0, F.col("lines_text"))
 
 
 def query(docs: DataFrame) -> DataFrame:

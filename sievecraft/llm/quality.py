@@ -4,7 +4,7 @@ All of it is built-in expressions; there is no shuffle, so a document's cost dep
 
 Results for special cases: a null or empty text has no words and fails the base rule; lines without a word are
 neither counted nor dropped; rows are judged one by one, so repeated rows and null ids get their row each; other
-columns pass through ``clean_lines`` untouched.
+columns of the table pass through ``stage`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CLASS, let, whole_text
+from .common import SPACE, SPACE_CLASS, let, packed, unpacked, whole_text
 
 SYMBOLS = "#*$%&|<>"
 _WORD = r"[^\x20\x09-\x0D]"
@@ -146,15 +146,12 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", prefix: s
 
 def stage(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that are kept, with their failing lines gone; same columns."""
-    columns = docs.columns
-    out = judge(docs, rules).filter("quality_kept").withColumn("text", F.col("quality_text"))
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(columns)
+    found = judge(packed(docs), rules).filter("quality_kept")
+    return unpacked(found, docs.columns, F.col("quality_lines_failed") > 0, F.col("quality_text"))
 
 
 def query(docs: DataFrame) -> DataFrame:
     """The rows of ``op7_quality_rules``."""
-    return judge(docs).select(
+    return judge(docs.select("doc_id", "text")).select(
         "doc_id", *(F.col(f"quality_{x}").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars", "lines_failed"))
     )

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, whole_text
+from .common import packed, saved, unpacked, whole_text
 
 
 def _either_case(word: str) -> str:
@@ -135,10 +135,8 @@ def with_live(left: DataFrame, live: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, own: Ownership = Ownership(), mark: str = "<secret>") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mark``; overlapping spans by one mark."""
-    columns = docs.columns
     live = live_candidates(scan(docs, own), own)
-    t = whole_text("text")
-    keyed = docs.select(F.struct(*columns).alias("row"), *_key("text"), t.alias("t")).withColumn("base", base_spans(F.col("t")))
+    keyed = packed(docs).select("row_", *_key("text"), F.col("text").alias("t")).withColumn("base", base_spans(F.col("t")))
     bare = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     spans = F.when(F.col("live").isNull(), bare(F.col("base"))).otherwise(F.sort_array(F.concat(bare(F.col("base")), bare(F.col("live")))))
 
@@ -147,12 +145,9 @@ def redact(docs: DataFrame, own: Ownership = Ownership(), mark: str = "<secret>"
         text = F.when(fresh, F.concat(state["text"], F.substring(F.col("t"), state["at"] + 1, x["start"] - state["at"]), F.lit(mark))).otherwise(state["text"])
         return F.struct(F.greatest(state["at"], x["end"]).alias("at"), text.alias("text"))
 
-    clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), step, lambda s: F.concat(s["text"], F.substring(F.col("t"), s["at"] + 1, F.length("t"))))
-    done = with_live(keyed, live).withColumn("clean", F.when((F.size("base") > 0) | F.col("live").isNotNull(), clean).otherwise(F.col("row")["text"]))
-    out = {c: F.col("row")[c] for c in columns} | {"text": F.col("clean")}
-    if "n_chars" in columns:
-        out["n_chars"] = F.length(F.col("clean")).cast(docs.schema["n_chars"].dataType)
-    return done.select(*(x.alias(c) for c, x in out.items()))
+    clean = F.aggregate(F.col("spans"), F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), step, lambda s: F.concat(s["text"], F.substring(F.col("t"), s["at"] + 1, F.length("t"))))
+    done = with_live(keyed, live).withColumn("spans", spans)
+    return unpacked(done, docs.columns, F.size("spans") > 0, clean)
 
 
 def query(docs: DataFrame, own: Ownership = Ownership()) -> DataFrame:

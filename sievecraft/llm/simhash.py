@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import packed, saved, unpacked
 from .components import components
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -316,7 +316,6 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radi
 
 def stage(docs: DataFrame) -> DataFrame:
     """One document of each group of similar documents: that with the least id."""
-    columns = docs.columns
     groups = saved(similar_groups(docs))
     kept = groups.filter(F.col("id") == F.col("root")).select(F.col("content").alias("kept_content"), F.col("low").alias("kept_low"), "n_rows")
 
@@ -324,12 +323,12 @@ def stage(docs: DataFrame) -> DataFrame:
     def content(texts: pd.Series) -> pd.Series:
         return pd.Series([xxhash.xxh3_128_digest(b" ".join(t.encode().lower().split())) for t in texts], dtype=object)
 
-    out = docs.withColumn("own_content", content(F.coalesce("text", F.lit(""))))
+    out = packed(docs).withColumn("own_content", content("text"))
     out = out.join(kept, (F.col("own_content") == F.col("kept_content")) & F.col("doc_id").eqNullSafe(F.col("kept_low")))
     # rows with the same id and content are left by repeats only; they are split off, so that the rest isn't shuffled
-    single = out.filter("n_rows = 1").select(columns)
-    repeated = out.filter("n_rows > 1").dropDuplicates(["own_content"]).select(columns)
-    return single.unionByName(repeated)
+    single = out.filter("n_rows = 1").select("row_")
+    repeated = out.filter("n_rows > 1").dropDuplicates(["own_content"]).select("row_")
+    return unpacked(single.union(repeated), docs.columns)
 
 
 def hex16(fp: Column | str) -> Column:
