@@ -27,10 +27,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that a lost executor costs no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder, so that a lost executor costs no recomputation; the shuffle files that led to
+    it go, as nothing reads them again."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
 
 
 def whole_text(text: Column | str = "text") -> Column:
