@@ -6,8 +6,7 @@ a bucket by find-first-set.  Its positions are merged at once, entries whose pai
 the new pairs go to the buckets of their ranks.  A pre-token of a million bytes thus costs no more a byte than short ones.
 
 Merging all pairs of a rank at once equals the order of one pre-token at a time (least rank, then leftmost) as long as no
-merge makes a pair of a lower rank; where one does, that step is taken back and only each pre-token's leftmost pair is
-merged.
+merge makes a pair of a lower rank; where one would, only each pre-token's leftmost pair is merged in that step.
 
 Results for special cases: a null or empty text has no ids; rows are encoded one by one, so repeated rows and null ids
 get their row each; other columns play no part.
@@ -94,6 +93,10 @@ class BPE:
         order = np.argsort(keys)
         self.pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
         self.pair_ranks = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], -1)
+        #: Tokens that are in a pair of a lower rank than their own.
+        self.lower = np.zeros(self.size, bool)
+        for side in (keys // self.size, keys % self.size):
+            self.lower[side[self.pair_ranks[: len(keys)][np.argsort(order)] < side]] = True
         self.cache: dict[str, bytes] = {}
 
     @classmethod
@@ -107,6 +110,13 @@ class BPE:
         at = np.searchsorted(self.pair_keys, keys)
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
 
+    def _makes_lower(self, rank: int, tok: np.ndarray, before: np.ndarray, after: np.ndarray, chosen: np.ndarray) -> bool:
+        """Whether a chosen pair, merged to ``rank``, would make a pair of a lower rank with a neighbour, merged or not."""
+        left, beyond = before[chosen], after[after[chosen]]
+        left, beyond = tok[left[left >= 0]], tok[beyond[beyond >= 0]]
+        new = np.concatenate((self.pair_rank(left, np.full(len(left), rank)), self.pair_rank(np.full(len(beyond), rank), beyond), self.pair_rank(np.array([rank]), np.array([rank]))))
+        return bool(((new >= 0) & (new < rank)).any())
+
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece (not empty), as little-endian unsigned 32-bit integers."""
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -151,28 +161,17 @@ class BPE:
                 i = np.arange(len(at))
                 first = np.maximum.accumulate(np.where(np.concatenate(([True], ~linked)), i, 0))
                 chosen = at[(i - first) % 2 == 0]
-            for take in (chosen, None):
-                if take is None:  # a lower rank came up: only the leftmost pair of each piece
-                    take = at[np.unique(piece[at], return_index=True)[1]]
-                right = after[take]
-                beyond = after[right]
-                inner = beyond >= 0
-                old = tok[take], tok[right]
-                tok[take], tok[right], after[take] = rank, -1, beyond
-                before[beyond[inner]] = take[inner]
-                left = before[take]
-                touched = np.unique(np.concatenate((take, left[left >= 0])))
-                if take is chosen:
-                    next_ = after[touched]
-                    new = np.where(next_ >= 0, self.pair_rank(tok[touched], tok[next_]), -1)
-                    if ((new >= 0) & (new < rank)).any():
-                        tok[take], tok[right] = old
-                        after[take] = right
-                        before[beyond[inner]] = right[inner]
-                        continue
-                elif len(rest := np.setdiff1d(at, take)):
+            if self.lower[rank] and self._makes_lower(rank, tok, before, after, chosen):
+                chosen = at[np.unique(piece[at], return_index=True)[1]]  # only the leftmost pair of each piece
+                if len(rest := np.setdiff1d(at, chosen)):
                     queue.push(rank, rest.tolist())
-                break
+            right = after[chosen]
+            beyond = after[right]
+            inner = beyond >= 0
+            tok[chosen], tok[right], after[chosen] = rank, -1, beyond
+            before[beyond[inner]] = chosen[inner]
+            left = before[chosen]
+            touched = np.unique(np.concatenate((chosen, left[left >= 0])))
             rank_at[right] = -1
             push(touched)
         alive = tok >= 0
@@ -250,6 +249,12 @@ def _batches(frames: Iterator[pd.DataFrame], chars: int) -> Iterator[pd.DataFram
         yield pd.concat(held, ignore_index=True)
 
 
+def _mapped(docs: DataFrame, run, columns: str) -> DataFrame:
+    """doc_id and what ``run`` makes of the texts; ids pass as text, as pandas would make numbers with nulls inexact."""
+    texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInPandas(run, f"doc_id string, {columns}").withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, batch_chars: int = 20_000_000) -> DataFrame:
     """doc_id, ids (array<long>) of every row.  The vocabulary file must be at ``path`` on every executor."""
 
@@ -258,8 +263,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
         for frame in _batches(frames, batch_chars):
             yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": [np.frombuffer(b, "<u4").astype(np.int64) for b in bpe.encode_batch(frame["text"])]})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, f"doc_id {kind}, ids array<long>")
+    return _mapped(docs, run, "ids array<long>")
 
 
 def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -290,5 +294,4 @@ def query(docs: DataFrame, path: str | None = None, pattern: str | None = None,
                 }
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _mapped(docs, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")

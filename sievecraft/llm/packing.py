@@ -125,7 +125,8 @@ def pack(found: DataFrame, n_shards: int, most: int = 1024, open_bins: int = 409
 def pack_documents(docs: DataFrame, most: int = 1024, end_id: int = 2, path: str | None = None, shard_chars: int = 40_000_000, open_bins: int = 4096) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of ``docs``."""
     n = shards(docs, F.length("text"), shard_chars)
-    return pack(pieces(docs, most, end_id, path), n, most, open_bins)
+    packed = pack(pieces(docs, most, end_id, path), n, most, open_bins)
+    return packed.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def packed_matrices(docs: DataFrame, most: int = 1024, end_id: int = 2, pad_id: int = 0, path: str | None = None, shard_chars: int = 12_000_000, rows: int = 1) -> DataFrame:
@@ -145,7 +146,7 @@ def packed_matrices(docs: DataFrame, most: int = 1024, end_id: int = 2, pad_id:
         order = np.lexsort((placed[:, 1], placed[:, 0]))
         bins, offsets = placed[order, 0], placed[order, 1]
         lengths, raw = frame["length"].to_numpy()[order], frame["ids"].to_numpy()[order]
-        ids = frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None).to_numpy()[order]
+        ids = frame["doc_id"].to_numpy()[order]
         piece, start = frame["piece"].to_numpy()[order], frame["start"].to_numpy()[order]
         base, out = int(frame["shard"].iloc[0]) << 40, []
         n_bins = int(bins[-1]) + 1
@@ -169,8 +170,9 @@ def packed_matrices(docs: DataFrame, most: int = 1024, end_id: int = 2, pad_id:
 
     n = shards(docs, F.length("text"), shard_chars)
     found = pieces(docs, most, end_id, path, with_ids=True, narrow=True)
-    schema = f"sequence_id long, n_rows int, n_tokens long, id_bytes int, ids binary, positions binary, cu_seqlens array<int>, row_segments array<int>, doc_ids array<{kind}>, pieces array<int>, starts array<long>"
-    return found.withColumn("shard", _shard(n)).groupBy("shard").applyInPandas(run, schema)
+    schema = "sequence_id long, n_rows int, n_tokens long, id_bytes int, ids binary, positions binary, cu_seqlens array<int>, row_segments array<int>, doc_ids array<string>, pieces array<int>, starts array<long>"
+    packed = found.withColumn("shard", _shard(n)).groupBy("shard").applyInPandas(run, schema)
+    return packed.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>"))
 
 
 def write_matrices(docs: DataFrame, folder: str, rows: int = 256, **options) -> None:

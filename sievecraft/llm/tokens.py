@@ -84,7 +84,8 @@ def cuts(n: int, most: int) -> list[int]:
 def pieces(docs: DataFrame, most: int = 1024, end_id: int = 2, path: str | None = None, with_ids: bool = False, narrow: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (of unsigned 32-bit ids; and ids, 16-bit if ``narrow`` and possible) of every document's pieces.
 
-    A null or empty text is its end id alone.  Rows that repeat give their pieces each.
+    Ids of documents are text here, as pandas would make numbers with nulls among them inexact.  A null or empty text is
+    its end id alone.  Rows that repeat give their pieces each.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,7 +94,7 @@ def pieces(docs: DataFrame, most: int = 1024, end_id: int = 2, path: str | None
         kept = "<u2" if narrow and tokens.size <= 1 << 16 else "<u4"
         for frame in frames:
             out: list[tuple] = []
-            for doc, text in zip(frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None), frame["text"]):
+            for doc, text in zip(frame["doc_id"], frame["text"]):
                 ids = np.concatenate((tokens.encode(text), end)).astype("<u4", copy=False)
                 at = cuts(len(ids), most)
                 for k, (a, b) in enumerate(zip(at, at[1:])):
@@ -101,5 +102,5 @@ def pieces(docs: DataFrame, most: int = 1024, end_id: int = 2, path: str | None
                     out.append((doc, k, a, b - a, zlib.crc32(raw), ids[a:b].astype(kept).tobytes()) if with_ids else (doc, k, a, b - a, zlib.crc32(raw)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+    texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
+    return texts.mapInPandas(run, "doc_id string, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
