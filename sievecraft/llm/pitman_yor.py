@@ -155,7 +155,7 @@ def _chunks(frames: Iterator[pd.DataFrame], model: Model, n_buckets: int) -> Ite
         place[order] = np.arange(len(words))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         tokens = place[np.concatenate([np.array(t, np.int64) for t in texts])]
-        held = np.array([zlib.crc32(("" if i is None else str(i)).encode()) % model.folds == 0 for i in ids])
+        held = np.array([zlib.crc32((i or "").encode()) % model.folds == 0 for i in ids])
         counts = np.bincount(tokens[~np.repeat(held, sizes)], minlength=len(words))
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         ordered = [words[i] for i in order.tolist()]
@@ -173,7 +173,7 @@ def _chunks(frames: Iterator[pd.DataFrame], model: Model, n_buckets: int) -> Ite
 
     ids, texts, index, size = [], [], fresh(), 0
     for frame in frames:
-        for doc, text in zip(frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None).tolist(), frame["text"]):
+        for doc, text in zip(frame["doc_id"], frame["text"]):
             tokens = list(map(index.__getitem__, [*text.encode().lower().split(), _END]))
             ids.append(doc)
             texts.append(tokens)
@@ -363,8 +363,8 @@ def _score(chunk: Chunk, pairs: pd.DataFrame, words: pd.DataFrame, model: Model,
 
 def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # ids pass as text, as pandas would make numbers with nulls inexact
+    texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
     parts = shards(docs, F.length("text") + 1, model.shard_chars)
     rows = saved(texts.mapInPandas(lambda frames: _chunks(frames, model, parts), _ROW))
     chunks = rows.filter("kind = 0")
@@ -386,7 +386,8 @@ def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
         of = lambda k: b[b["kind"] == k]
         return _score(Chunk(a, of(2), model, parts), of(5), of(8), model, total, types, customers, tables)
 
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
