@@ -51,8 +51,8 @@ class Model:
     #: The base score's additive constant, and the remainder (of ``folds``) that is held out.
     add: float = 0.1
     folds: int = 10
-    chunk_tokens: int = 1_500_000
-    shard_chars: int = 20_000_000
+    chunk_tokens: int = 1_000_000
+    shard_chars: int = 12_000_000
     #: Customers of a context for each of its parts.
     split_customers: int = 500_000
     #: Up to so many customers a dish's tables are drawn from the exact weights; those beyond are seated in turn.
