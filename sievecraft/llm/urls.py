@@ -1,12 +1,13 @@
 """URL filters: host and path rules, then the verdict of a path-template tree.
 
-Per host, the paths of all pages form a tree.  Level by level, a segment that varies (numbers, hashes, or children of a
-node that nearly all differ) becomes a wildcard that keeps its ending, and branches whose labelled shares of bad pages do
-not differ from their node's by more than chance are merged into one.  A path's way through the tree is its template; a
-template is rejected by its labelled purity, smoothed towards that of the corpus.
+Per host, the paths of all pages form a tree.  Segments that are numbers or hashes become wildcards that keep their
+ending before anything is counted.  Then, level by level, the children of a node that nearly all differ become wildcards
+too, and branches whose labelled shares of bad pages do not differ from their node's by more than chance are merged into
+one.  A path's way through the tree is its template; a template is rejected by its labelled purity, smoothed towards that
+of the corpus.
 
-Every level is grouped counts, combined before the shuffle, over distinct paths, so a host with a third of all pages
-costs rows and not one task's memory; the levels are written to cut the lineage.
+Pages are counted by host and generalised path, combined before the shuffle, so a host with a third of all pages costs
+little more than any other; the levels work on these counts and are written to cut the lineage.
 
 Results for special cases: a null url or one without "://" has an empty host and path, no rule and the verdict of the
 empty template; repeated rows get a row each; null page ids have no label; unlabelled templates have the corpus' purity;
@@ -66,8 +67,13 @@ def _wildcard(segment: Column) -> Column:
     return F.concat(F.lit("*"), F.regexp_extract(segment, r"(\.[A-Za-z]{1,5})$", 1))
 
 
+def shape(path: Column) -> Column:
+    """The path with its numbers and hashes made wildcards."""
+    return F.array_join(F.transform(F.split(path, "/"), lambda x: F.when(_variable(x), _wildcard(x)).otherwise(x)), "/")
+
+
 def templates(paths: DataFrame, tree: Tree = Tree()) -> DataFrame:
-    """paths: host, path (distinct), n, labelled, bad.  The same with template."""
+    """paths: host, path (a shape; distinct), n, labelled, bad.  The same with template."""
     state = saved(paths.withColumns({"segments": F.split("path", "/"), "template": F.lit("")}))
     depth = min(tree.max_depth, (state.agg(F.max(F.size("segments"))).first()[0] or 1) - 1)
     for level in range(1, depth + 1):
@@ -78,12 +84,12 @@ def templates(paths: DataFrame, tree: Tree = Tree()) -> DataFrame:
             F.count("*").alias("children"), F.sum("n").alias("pages"), (F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share")
         )
         joined = children.join(nodes, (F.col("k_host") == F.col("n_host")) & (F.col("k_template") == F.col("n_template")))
-        varied = _variable(F.col("k_segment")) | ((F.col("children") >= tree.many_children) & (F.col("pages") < F.col("children") * tree.pages_per_child))
+        varied = (F.col("children") >= tree.many_children) & (F.col("pages") < F.col("children") * tree.pages_per_child)
         # one page's worth of the node's share keeps the test away from shares of exactly 0 and 1
         share = (F.col("bad") + F.col("share")) / (F.col("labelled") + 1)
         error = F.sqrt(F.greatest(F.col("share") * (1 - F.col("share")), F.lit(0.01)) / (F.col("labelled") + 1))
-        alike = (F.col("k_segment") != "") & (F.abs(share - F.col("share")) <= tree.z * error)
-        name = F.when(F.col("k_segment") == "", "").when(varied, _wildcard(F.col("k_segment"))).when(alike, "~").otherwise(F.col("k_segment"))
+        alike = F.abs(share - F.col("share")) <= tree.z * error
+        name = F.when(F.col("k_segment").rlike(r"^(\*(\.[A-Za-z]{1,5})?)?$"), F.col("k_segment")).when(varied, _wildcard(F.col("k_segment"))).when(alike, "~").otherwise(F.col("k_segment"))
         named = joined.select("k_host", "k_template", "k_segment", name.alias("name"))
         same = (F.col("host") == F.col("k_host")) & (F.col("template") == F.col("k_template")) & (F.col("segment") == F.col("k_segment"))
         step = here.join(named, same, "left")
@@ -98,7 +104,7 @@ def judge(pages: DataFrame, labels: DataFrame, tree: Tree = Tree(), rules: tuple
     parsed = saved(pages.select("page_id", host.alias("host"), path.alias("path")))
     known = labels.filter("page_id is not null and bad is not null").groupBy(F.col("page_id").alias("labelled_id")).agg(F.max("bad").alias("is_bad"))
     marked = parsed.join(known, F.col("page_id") == F.col("labelled_id"), "left")
-    paths = marked.groupBy("host", "path").agg(F.count("*").alias("n"), F.count("is_bad").alias("labelled"), F.count_if("is_bad").alias("bad"))
+    paths = marked.groupBy("host", shape(F.col("path")).alias("path")).agg(F.count("*").alias("n"), F.count("is_bad").alias("labelled"), F.count_if("is_bad").alias("bad"))
     found = templates(paths, tree)
     total = found.agg(F.sum("bad"), F.sum("labelled")).first()
     prior = (total[0] or 0) / max(1, total[1] or 0)
@@ -106,7 +112,7 @@ def judge(pages: DataFrame, labels: DataFrame, tree: Tree = Tree(), rules: tuple
     judged = found.join(shares, (F.col("host") == F.col("t_host")) & (F.col("template") == F.col("t_template")))
     judged = judged.select(F.col("host").alias("j_host"), F.col("path").alias("j_path"), "template", "bad_share")
     name, verdict = rule(F.col("host"), F.col("path"), rules)
-    out = parsed.join(judged, (F.col("host") == F.col("j_host")) & (F.col("path") == F.col("j_path")))
+    out = parsed.join(judged, (F.col("host") == F.col("j_host")) & (shape(F.col("path")) == F.col("j_path")))
     method = F.when(F.col("bad_share") >= tree.reject_share, "block").otherwise("allow")
     return out.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "template", "bad_share")
 
