@@ -16,16 +16,21 @@ SPACE = r"\n" + _SPACE_NO_LF
 LINE_BREAK = r"\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]"
 
 
+#: The same characters, as text.
+_SPACES = "".join(map(chr, [*range(0x9, 0xE), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def clean(text: Column) -> Column:
-    """No byte order marks, line feeds only, no trailing blanks, at most one empty line in a row, stripped."""
-    text = F.regexp_replace(text, r"\A\ufeff+", "")
-    text = F.regexp_replace(text, r"\r\n?", "\n")
-    text = F.regexp_replace(text, rf"[{_SPACE_NO_LF}]+(?=\n|\z)", "")
-    return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+    """No byte order marks, line feeds only, no trailing blanks, at most one empty line in a row, stripped; what most
+    texts do not have is looked for before it is replaced."""
+    bare = F.when(text.startswith("\ufeff"), F.ltrim(text, F.lit("\ufeff"))).otherwise(text)
+    feeds = F.transform(F.array(bare), lambda t: F.when(t.contains("\r"), F.regexp_replace(t, r"\r\n?", "\n")).otherwise(t))
+    trimmed = F.transform(feeds, lambda t: F.regexp_replace(t, rf"[{_SPACE_NO_LF}]+(?=\n|\z)", ""))
+    return F.transform(trimmed, lambda t: strip(F.when(t.contains("\n\n\n"), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t)))[0]
 
 
 def is_binary(text: Column) -> Column:
@@ -54,7 +59,11 @@ def has_marker(text: Column, markers: tuple[str, ...], first_lines: int = 80) ->
     return found
 
 
+def repeated_ratio(stripped: Column) -> Column:
+    """1 - distinct / all of an array of lines; 0 without any."""
+    return F.when(F.size(stripped) == 0, F.lit(0.0)).otherwise(F.lit(1.0) - F.size(F.array_distinct(stripped)) / F.size(stripped))
+
+
 def repeated_line_ratio(text: Column) -> Column:
-    """1 - distinct / all over the stripped non-empty lines; 0 without any."""
-    ratio = F.transform(F.array(code_lines(text)), lambda a: F.when(F.size(a) == 0, F.lit(0.0)).otherwise(F.lit(1.0) - F.size(F.array_distinct(a)) / F.size(a)))
-    return ratio[0]
+    """``repeated_ratio`` of the stripped non-empty lines."""
+    return F.transform(F.array(code_lines(text)), repeated_ratio)[0]

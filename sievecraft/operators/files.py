@@ -28,10 +28,11 @@ def clean_reason(raw: Column, code: Column, n_lines: Column, files: FileFilter,
     )
 
 
-def quality_reason(code: Column, quality: Quality) -> Column:
+def quality_reason(code: Column, stripped: Column, quality: Quality) -> Column:
+    """The same for quality; stripped: the non-empty lines."""
     return _first(
         (text.has_marker(code, quality.generated_markers) & F.lit(quality.reject_generated_code), "generated_code"),
-        (text.repeated_line_ratio(code) > quality.max_repeated_line_ratio, "high_line_repetition"),
+        (text.repeated_ratio(stripped) > quality.max_repeated_line_ratio, "high_line_repetition"),
     )
 
 
@@ -41,11 +42,20 @@ def process(files: DataFrame, file_filter: FileFilter, quality: Quality, column:
     With ``python``, also tokens and structural_hash from Python's parser, which sees only what passed all other gates.
     """
     raw = F.col(column)
-    out = files.withColumn("code", text.clean(raw))
+
+    def of_lines(code: Column, stripped: Column) -> Column:
+        n_lines = F.size(stripped).cast("long")
+        reason = F.coalesce(clean_reason(raw, code, n_lines, file_filter, quality), quality_reason(code, stripped, quality))
+        return F.struct(code.alias("code"), F.length(code).cast("long").alias("characters"), n_lines.alias("non_empty_lines"), reason.alias("reason"))
+
+    def judged(code: Column) -> Column:
+        return F.transform(F.array(text.code_lines(code)), lambda stripped: of_lines(code, stripped))[0]
+
+    # all of it in one expression with the cleaned text bound once: as columns of their own, a filter on the reason would
+    # be moved below them and carry a copy of the cleaning for each mention of the text
+    out = files.withColumn("judged", F.transform(F.array(text.clean(raw)), judged)[0])
+    out = out.withColumns({c: F.col("judged")[c] for c in ("code", "characters", "non_empty_lines", "reason")}).drop("judged")
     code = F.col("code")
-    out = out.withColumns({"characters": F.length(code).cast("long"), "non_empty_lines": text.non_empty_lines(code)})
-    out = out.withColumn("reason", clean_reason(raw, code, F.col("non_empty_lines"), file_filter, quality))
-    out = out.withColumn("reason", F.coalesce("reason", F.when(F.col("reason").isNull(), quality_reason(code, quality))))
     if python:
         # null instead of code: a condition around the call would not keep rejected files from the parser
         out = out.withColumn("parsed", pysource.analyze(F.when(F.col("reason").isNull(), code), quality.syntax_check))
@@ -79,7 +89,8 @@ def dedup(files: DataFrame, registry: DataFrame | None, order: list[str], cfg: D
 
     What the sequential rule does (take files in order, refuse one whose hash an accepted file or the registry has, the
     exact hash first) depends only on each class's first admissible file.  That is a grouped minimum, so a class of
-    any size is combined before the shuffle, and the files are joined with their class's row.
+    any size is combined before the shuffle, and the files are joined with their class's row.  ``files`` is read twice, so
+    what is costly before it should be persisted or written.
     """
     if not (cfg.exact or cfg.structural):
         return files.withColumn("duplicate", F.lit(None).cast("string"))

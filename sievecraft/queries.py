@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +43,14 @@ def _processed(spark: SparkSession, d: str) -> DataFrame:
     return files.process(_docs(spark, d), FILES, QUALITY, python=False)
 
 
+def _slim(judged: DataFrame) -> DataFrame:
+    """Judged files without their texts, kept for the two reads of the deduplication."""
+    slim = judged.withColumns({"bytes": records.record_bytes(F.col("code")), "size": F.octet_length("text"), "structural_hash": F.col("exact_hash")})
+    return slim.drop("text", "code").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _accepted(spark: SparkSession, d: str, registry: DataFrame | None = None) -> DataFrame:
-    passed = _processed(spark, d).filter("reason is null").withColumn("structural_hash", F.col("exact_hash"))
+    passed = _slim(_processed(spark, d)).filter("reason is null")
     return files.dedup(passed, registry, ["ord"], Dedup(True, False)).filter("duplicate is null")
 
 
@@ -63,7 +70,7 @@ def _shape(code):
 
 def two_level_dedup(spark: SparkSession, d: str) -> DataFrame:
     """A stand-in for the structural hash: lower case, numbers made equal."""
-    found = _clean(spark, d).withColumns({"exact_hash": records.exact_hash(F.col("code")), "structural_hash": _shape(F.col("code"))})
+    found = _clean(spark, d).select("doc_id", "ord", records.exact_hash(F.col("code")).alias("exact_hash"), _shape(F.col("code")).alias("structural_hash")).persist(StorageLevel.MEMORY_AND_DISK)
     known = found.filter(F.col("doc_id") < REGISTRY_BELOW)
     registry = known.filter("doc_id % 2 = 0").select(F.lit("exact").alias("hash_type"), F.col("exact_hash").alias("hash_value")).union(known.filter("doc_id % 2 = 1").select(F.lit("structural"), "structural_hash"))
     out = files.dedup(found.filter(F.col("doc_id") >= REGISTRY_BELOW), registry, ["ord"], Dedup(True, True))
@@ -71,7 +78,7 @@ def two_level_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def size_budget(spark: SparkSession, d: str) -> DataFrame:
-    out = budget.within_bytes(_accepted(spark, d), "repository", ["ord"], records.record_bytes(F.col("code")), BUDGET)
+    out = budget.within_bytes(_accepted(spark, d), "repository", ["ord"], F.col("bytes"), BUDGET)
     return out.select("doc_id", "bytes_so_far", "fits")
 
 
@@ -85,11 +92,11 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_stats(spark: SparkSession, d: str) -> DataFrame:
-    scanned = files.scan_secrets(_processed(spark, d).withColumn("structural_hash", F.col("exact_hash")), Security(True, False))
+    scanned = _slim(files.scan_secrets(_processed(spark, d), Security(True, False)))
     passed = files.dedup(scanned.filter("reason is null"), None, ["ord"], Dedup(True, False))
     refused = scanned.filter("reason is not null").withColumn("duplicate", F.lit(None).cast("string"))
     all_ = passed.unionByName(refused)
-    outcome = files.outcome(F.octet_length("text"), FILES.max_file_size_bytes, F.col("reason"), F.col("secret"), F.col("duplicate"), F.lit(False))
+    outcome = files.outcome(F.col("size"), FILES.max_file_size_bytes, F.col("reason"), F.col("secret"), F.col("duplicate"), F.lit(False))
     return counters.file_counts(all_.withColumn("outcome", outcome)).drop("rejected_security")
 
 
