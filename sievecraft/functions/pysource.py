@@ -55,4 +55,5 @@ def analyze(code: Column, syntax_check: bool = True) -> Column:
         out = pd.DataFrame(rows, columns=["error", "tokens", "structural_hash"])
         return out.astype({"tokens": "Int64"})
 
-    return run(code)
+    # marked so that the planner neither repeats the parser nor moves filters on its results, with copies of it, below it
+    return run.asNondeterministic()(code)
