@@ -12,30 +12,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievecraft.llm import lines, packing, quality, secrets, simhash
 from sievecraft.llm.common import shared_folder
+from sievecraft.shipping import ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go, and the failing lines of the others."""
+    ship(spark)
     return quality.stage(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that at least three documents hold stay in the last of these."""
+    ship(spark)
     return lines.stage(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose five-word shingles are alike (0.8 or more), one stays."""
+    ship(spark)
     return simhash.stage(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; no document goes."""
+    ship(spark)
     return secrets.redact(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token sequences."""
+    ship(spark)
     return packing.query_best_fit(docs)
 
 
