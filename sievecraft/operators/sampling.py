@@ -45,16 +45,15 @@ def allocate(weights: Sequence[tuple[str, float]], available: Mapping[str, int],
 def allocation(groups: DataFrame, total: int, renormalize: bool = False) -> DataFrame:
     """``allocate`` as a plan.  groups: name, weight, place (the order), available.  name, allocated of every group."""
     live = groups.filter("weight > 0 and available > 0")
-    scale = live.agg(F.sum("weight").alias("scale")) if renormalize else None
+    scale = float(live.agg(F.sum("weight")).first()[0] or 1.0) if renormalize else 1.0  # a number, like the one below
     share = F.lit(float(total)) * F.col("weight")
-    shares = live.crossJoin(scale).withColumn("share", share / F.col("scale")) if renormalize else live.withColumn("share", share)
-    base = shares.withColumn("base", F.least("available", F.floor("share")).cast("long"))
-    left = base.agg(F.greatest(F.lit(total) - F.coalesce(F.sum("base"), F.lit(0)), F.lit(0)).alias("left"))
+    base = live.withColumn("share", share / F.lit(scale) if renormalize else share)
+    base = base.withColumn("base", F.least("available", F.floor("share")).cast("long"))
+    left = max(0, total - int(base.agg(F.sum("base")).first()[0] or 0))
     # no group can win more slots than are left
-    last = F.least(F.col("available"), F.col("base") + total) - 1
-    slots = base.filter("base < available").withColumn("k", F.explode(F.sequence("base", last)))
+    slots = base.filter("base < available").withColumn("k", F.explode(F.sequence("base", F.least(F.col("available"), F.col("base") + max(1, left)) - 1)))
     nth = F.row_number().over(Window.orderBy((F.col("share") - F.col("k")).desc(), (F.col("available") - F.col("k")).desc(), "place", "k"))
-    won = slots.withColumn("nth", nth).crossJoin(left).filter(F.col("nth") <= F.col("left")).groupBy(F.col("name").alias("w")).agg(F.count("*").alias("won"))
+    won = slots.withColumn("nth", nth).filter(F.col("nth") <= left).groupBy(F.col("name").alias("w")).agg(F.count("*").alias("won"))
     got = base.select(F.col("name").alias("g"), "base").join(won, F.col("g") == F.col("w"), "left")
     return groups.join(got, F.col("name") == F.col("g"), "left").select("name", (F.coalesce("base", F.lit(0)) + F.coalesce("won", F.lit(0))).cast("long").alias("allocated"))
 
