@@ -42,9 +42,9 @@ _ROW = "kind int, chunk long, part int, blob binary"
 
 @dataclass(frozen=True)
 class Model:
-    discount: float = 0.8
-    strength: float = 1.0
-    parent_discount: float = 0.5
+    discount: float = 0.75
+    strength: float = 0.5
+    parent_discount: float = 0.7
     parent_strength: float = 50.0
     burn_in: int = 2
     samples: int = 3
