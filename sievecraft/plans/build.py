@@ -142,6 +142,14 @@ def build(spark: SparkSession, cfg: Config, hits: DataFrame, repository_files, p
     stats |= {"repositories_skipped_previously_crawled": skipped, "repositories_selected": chosen.count()}
 
     found = repository_files(chosen)
+    failed = spark.createDataFrame([], "full_name string, error string")
+    if "error" in found.columns:  # rows of repositories that could not be read
+        found = found.persist(StorageLevel.MEMORY_AND_DISK)
+        failed = found.filter("error is not null").select(F.col("repository").alias("full_name"), "error")
+        found = found.filter("error is null").drop("error")
+        if not cfg.runtime.continue_on_repository_error and (first := failed.first()) is not None:
+            raise RuntimeError(f"{first['full_name']}: {first['error']}")
+        found = found.join(failed.select(F.col("full_name").alias("repository")), "repository", "left_anti")
     located = found.join(chosen.select(F.col("full_name").alias("repository"), "place", "r"), "repository")
     done = judge_files(located, state["code_hashes"], cfg, start).persist(StorageLevel.MEMORY_AND_DISK)
     accepted = done.filter("outcome = 'accepted'")
@@ -154,13 +162,15 @@ def build(spark: SparkSession, cfg: Config, hits: DataFrame, repository_files, p
     # a repository that the byte limit has cut off stays in processing, so that the next run takes it up again
     cut = done.filter("outcome = 'storage_limit'").select(F.col("repository").alias("full_name")).distinct()
     tables = transitions.mark(state["repositories"], chosen.select("full_name", F.lit(None).cast("string").alias("error")), "processing")
-    tables = transitions.mark(tables, chosen.join(cut, "full_name", "left_anti").select("full_name", F.lit(None).cast("string").alias("error")), "crawled")
+    tables = transitions.mark(tables, failed, "failed")
+    tables = transitions.mark(tables, chosen.join(cut.union(failed.select("full_name")), "full_name", "left_anti").select("full_name", F.lit(None).cast("string").alias("error")), "crawled")
     state |= {"repositories": tables, "code_hashes": transitions.register(state["code_hashes"], accepted, cfg.deduplication.structural)}
     if progress is not None:
         state["query_progress"] = transitions.set_progress(state["query_progress"], progress)
     store.commit(state)
     state = store.read()
     stats["repositories_crawled"] = chosen.join(state["repositories"].filter("status = 'crawled'").select("full_name"), "full_name", "left_semi").count()
+    stats["repositories_failed"] = failed.select("full_name").distinct().count()
     stats["dataset_size_bytes"] = datasets.folder_bytes(spark, out.train_file, out.validation_file)
     stats["state"] = {r["status"]: r["n"] for r in counters.status_counts(state["repositories"]).collect()} | counters.hash_counts(state["code_hashes"]).first().asDict()
     write_stats(spark, stats, f"{cfg.runtime.work_dir}/stats")

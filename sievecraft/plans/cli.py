@@ -1,16 +1,19 @@
-"""Command line: check the configuration, preview a selection, or build from landed pages and archives."""
+"""Command line: check the configuration, preview a selection, or build, from the host or from landed pages and archives."""
 
 from __future__ import annotations
 
 import argparse
 import logging
 import sys
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ConfigError, load_config
-from ..sources import archives, search
+from ..config import load_config
+from ..shipping import ship
+from ..sources import archives, host, search
+from ..state import transitions
 from ..state.snapshots import Snapshots
 from . import build as plans
 
@@ -35,13 +38,22 @@ def landed_files(spark: SparkSession, folder: str, cfg):
     return of
 
 
+def searched(spark: SparkSession, cfg) -> tuple[DataFrame, DataFrame]:
+    """The hits of the queries that are not exhausted, from where the last run ended, and the progress after them."""
+    stored = Snapshots(spark, cfg.output.state_file).read()["query_progress"]
+    at = {q.name: transitions.progress(stored, q.name, q.query) for q in cfg.github.queries}
+    open_ = replace(cfg.github, queries=tuple(q for q in cfg.github.queries if not at[q.name][1]))
+    hits = search.search(spark, open_, {k: page for k, (page, _) in at.items()}).persist()
+    return hits, search.progress(hits, open_)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="sievecraft", description="Build a source-code corpus.")
     parser.add_argument("-c", "--config", default="config.yaml")
     parser.add_argument("--dry-run", action="store_true", help="check the configuration only")
     parser.add_argument("--preview", action="store_true", help="show what would be selected; write nothing")
     parser.add_argument("--pages", help="a dump of search results (JSON lines); else the service is asked")
-    parser.add_argument("--archives", help="the folder of landed archives")
+    parser.add_argument("--archives", help="a folder of landed archives; else they are fetched")
     args = parser.parse_args(argv)
     try:
         cfg = load_config(args.config)
@@ -56,15 +68,15 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     try:
         spark = SparkSession.builder.appName("sievecraft").getOrCreate()
-        hits = search.read_dump(spark, args.pages) if args.pages else search.search(spark, cfg.github)
+        ship(spark)
+        hits, progress = (search.read_dump(spark, args.pages), None) if args.pages else searched(spark, cfg)
         if args.preview:
             chosen, counts = plans.preview(hits, Snapshots(spark, cfg.output.state_file).read(), cfg)
             chosen.show(1000, truncate=False)
             print(counts)
             return 0
-        if not args.archives:
-            raise ConfigError("--archives is needed to build")
-        run = plans.build(spark, cfg, hits, landed_files(spark, args.archives, cfg))
+        fetched = landed_files(spark, args.archives, cfg) if args.archives else lambda selected: host.fetch_files(selected, cfg)
+        run = plans.build(spark, cfg, hits, fetched, progress)
         print(run.stats)
         return 0
     except KeyboardInterrupt:

@@ -144,6 +144,18 @@ def search(spark: SparkSession, host: Host, start_pages: dict[str, int] | None =
     return spark.read.format("repository_search").options(**{k: str(v) for k, v in options.items()}).load()
 
 
+def progress(hits: DataFrame, host: Host) -> DataFrame:
+    """The rows of query_progress after ``hits``: on to the next page, or exhausted by a short page or the window."""
+    from pyspark.sql import functions as F
+
+    texts = hits.sparkSession.createDataFrame([(q.name, q.query) for q in host.queries], "name string, query_text string")
+    pages_ = hits.groupBy("query_name", "page").agg(F.count("*").alias("n"))
+    last = pages_.groupBy("query_name").agg(F.max(F.struct("page", "n")).alias("x"))
+    done = (F.col("x.n") < host.page_size) | (F.col("x.page") * host.page_size >= WINDOW)
+    out = last.join(texts, F.col("query_name") == F.col("name"))
+    return out.select("query_name", "query_text", F.when(done, F.col("x.page")).otherwise(F.col("x.page") + 1).alias("next_page"), done.alias("exhausted"), F.current_timestamp().alias("updated_at"))
+
+
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
     """The same from JSON lines written earlier."""
     return spark.read.schema(SEARCH_HIT).json(path)

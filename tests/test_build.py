@@ -225,6 +225,76 @@ def test_build(spark, tmp_path):
     assert second.stats["repositories_crawled"] == 1 and second.stats["state"]["crawled"] == 3
 
 
+class Host:
+    """A host of this machine: searches, commits, archives, trees and blobs."""
+
+    def __init__(self):
+        import base64
+        import http.server
+        import threading
+        from urllib.parse import parse_qs, urlparse
+
+        code = {"o/a": b"def f1(a):\n    return a + 1\n", "o/b": b"import sys\nprint(sys.argv, 1)\n"}
+        repos = [json.loads(_hit(n, "q", s)[3]) for n, s in (("o/a", 90), ("o/b", 50), ("o/gone", 20))]
+
+        def packed(name):
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w") as z:
+                z.writestr("root/src/x.py", code[name])
+                z.writestr("root/build/y.py", b"no")
+            return out.getvalue()
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_GET(self):
+                url = urlparse(self.path)
+                part, page = url.path.strip("/").split("/"), int(parse_qs(url.query).get("page", ["1"])[0])
+                name = "/".join(part[1:3])
+                if part[0] == "search":
+                    body = json.dumps({"items": repos if page == 1 else []}).encode()
+                elif name not in code:
+                    return self.send_error(404)
+                elif part[3] == "commits":
+                    body = json.dumps({"sha": f"sha-{part[4]}"}).encode()
+                elif part[3] == "zipball":
+                    body = packed(name)
+                elif part[4] == "trees":
+                    body = json.dumps({"tree": [{"path": "src/x.py", "type": "blob", "sha": "b1", "size": len(code[name])}, {"path": "big.py", "type": "blob", "sha": "b2", "size": 10**6}, {"path": "src", "type": "tree", "sha": "t"}]}).encode()
+                else:
+                    body = json.dumps({"encoding": "base64", "content": base64.b64encode(code[name]).decode()}).encode()
+                self.send_response(200)
+                self.end_headers()
+                self.wfile.write(body)
+
+            def log_message(self, *args):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}"
+
+
+@pytest.mark.parametrize("method", ["archive", "blob"])
+def test_build_from_a_host(spark, tmp_path, method, capsys):
+    host = Host()
+    try:
+        settings = raw(tmp_path, github__api_base_url=host.url, github__queries=["a"], github__max_retries=0, github__download_method=method)
+        path = tmp_path / "c.json"
+        path.write_text(json.dumps(settings))
+        assert cli.main(["-c", str(path), "--preview"]) == 0
+        assert cli.main(["-c", str(path)]) == 0
+    finally:
+        host.server.shutdown()
+    cfg = config.from_mapping(settings)
+    state = Snapshots(spark, cfg.output.state_file).read()
+    assert {r.full_name: r.status for r in state["repositories"].collect()} == {"o/a": "crawled", "o/b": "crawled", "o/gone": "failed"}
+    assert "404" in state["repositories"].filter("status = 'failed'").first().last_error
+    assert [(r.query_name, r.next_page, r.exhausted) for r in state["query_progress"].collect()] == [("query_1", 1, True)]
+    manifest = spark.read.json(cfg.output.metadata_file).collect()
+    assert {(m.repository, m.file_path, m.tree_sha) for m in manifest} == {("o/a", "src/x.py", "sha-main"), ("o/b", "src/x.py", "sha-main")}
+    stats = json.loads(spark.read.text(f"{cfg.runtime.work_dir}/stats").first()[0])
+    assert stats["repositories_failed"] == 1 and stats["files_accepted"] == 2 and stats["skipped_large_file"] == (method == "blob") * 2
+
+
 def test_budget_stops_the_run(spark, tmp_path):
     hits, files = _world(spark)
     cfg = config.from_mapping(raw(tmp_path, output__max_dataset_size_bytes=60, output__include_metadata_in_dataset=False))
