@@ -11,6 +11,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -31,15 +32,21 @@ def _byte_characters() -> dict[str, int]:
 
 class Tokens:
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.specials = [t["content"] for t in spec.get("added_tokens") or []]
+        added = spec.get("added_tokens") or []
+        self.specials = [t["content"] for t in added]
+        self.size = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in added)]) if isinstance(spec["model"].get("vocab"), dict) else self.library.get_vocab_size()
         self.fast = self._fast(spec)
 
+    @cached_property
+    def library(self):
+        """The library's own tokenizer, loaded where it is first needed; it takes far more memory than the faster one."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _fast(self, spec: dict):
         """The faster encoder, where the file is of the kind for which it gives the same ids; else None."""
         model, before = spec["model"], spec.get("pre_tokenizer") or {}
