@@ -35,13 +35,17 @@ def record_bytes(text: Column, metadata: Column | None = None, metadata_fields:
     return (F.octet_length(F.to_json(record(text, metadata), {"ignoreNullFields": "false"})) + blanks + 1).cast("long")
 
 
+#: Where source files are found, and what ends a file in the text export.
+_HOST, _FILE_END = "https://github.com/", "\n<|file_end|>\n\n"
+
+
 def source_url(owner: Column, name: Column, branch: Column, path: Column) -> Column:
-    return F.concat(F.lit("https://github.com/"), owner, F.lit("/"), name, F.lit("/blob/"), branch, F.lit("/"), path)
+    return F.concat(F.lit(_HOST), owner, F.lit("/"), name, F.lit("/blob/"), branch, F.lit("/"), path)
 
 
 def export_text(text: Column) -> Column:
     """A file of the text export, with the mark that ends it."""
-    return F.concat(text, F.lit("\n<|file_end|>\n\n"))
+    return F.concat(text, F.lit(_FILE_END))
 
 
 def utf8(raw: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Dedup, FileFilter, Quality, Security
 from ..functions import credentials, pysource, records, text
 
+#: How reasons begin that count as quality; all others count as cleaning.
 QUALITY_REASONS = ("syntax_error", "tokenization_error", "generated_code", "high_line_repetition", "too_few_tokens")
 
 
