@@ -63,8 +63,8 @@ def shards(df: DataFrame, size: Column, per_shard: int) -> int:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """``docs`` as row_ (the whole row), doc_id and text (null as empty), so that no other column can clash with ours."""
-    return docs.select(F.struct(*docs.columns).alias("row_"), "doc_id", whole_text().alias("text"))
+    """``docs`` as row_ (the whole row, and so the only copy of its text) and doc_id, so that no column clashes with ours."""
+    return docs.select(F.struct(*docs.columns).alias("row_"), "doc_id")
 
 
 def unpacked(found: DataFrame, columns: list[str], changed: Column | None = None, text: Column | None = None) -> DataFrame:

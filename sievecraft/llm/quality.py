@@ -146,7 +146,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text", prefix: s
 
 def stage(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that are kept, with their failing lines gone; same columns."""
-    found = judge(packed(docs), rules).filter("quality_kept")
+    found = judge(packed(docs), rules, "row_.text").filter("quality_kept")
     return unpacked(found, docs.columns, F.col("quality_lines_failed") > 0, F.col("quality_text"))
 
 

@@ -135,8 +135,8 @@ def with_live(left: DataFrame, live: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, own: Ownership = Ownership(), mark: str = "<secret>") -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mark``; overlapping spans by one mark."""
-    live = live_candidates(scan(docs, own), own)
-    keyed = packed(docs).select("row_", *_key("text"), F.col("text").alias("t")).withColumn("base", base_spans(F.col("t")))
+    live, t = live_candidates(scan(docs, own), own), whole_text("row_.text")
+    keyed = packed(docs).select("row_", *_key("row_.text"))
     bare = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     spans = F.when(F.col("live").isNull(), bare(F.col("base"))).otherwise(F.sort_array(F.concat(bare(F.col("base")), bare(F.col("live")))))
 
@@ -146,7 +146,8 @@ def redact(docs: DataFrame, own: Ownership = Ownership(), mark: str = "<secret>"
         return F.struct(F.greatest(state["at"], x["end"]).alias("at"), text.alias("text"))
 
     clean = F.aggregate(F.col("spans"), F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), step, lambda s: F.concat(s["text"], F.substring(F.col("t"), s["at"] + 1, F.length("t"))))
-    done = with_live(keyed, live).withColumn("spans", spans)
+    # texts are searched again after the join, so that only whole rows are shuffled
+    done = with_live(keyed, live).withColumn("t", t).withColumn("base", base_spans(F.col("t"))).withColumn("spans", spans)
     return unpacked(done, docs.columns, F.size("spans") > 0, clean)
 
 
