@@ -241,7 +241,8 @@ def _contents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             content = xxhash.xxh3_128_digest(b" ".join(raw.split()))
             if content not in seen:
                 hashes = shingle_hashes(raw, size)
-                seen[content] = (fingerprint(hashes), band_keys(np.unique(hashes), bands, rows))
+                distinct = np.unique(hashes)  # as the similarity is that of sets
+                seen[content] = (fingerprint(distinct), band_keys(distinct, bands, rows))
             out.append((content, *seen[content]))
         return pd.DataFrame(out, columns=["content", "fp", "bands"])
 
@@ -287,13 +288,14 @@ def _alike(members: DataFrame, size: int, similarity: float, part_size: int) ->
     return dealt.mapInPandas(link, "u long, v long")
 
 
-def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 24, bands: int = 20, rows: int = 4, tree_size: int = 4096, part_size: int = 1000) -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 28, bands: int = 20, rows: int = 4, tree_size: int = 4096, part_size: int = 1000) -> DataFrame:
     """content, n_rows, id, component_id of every distinct content (lower-cased words) of ``docs``.
 
     Two contents are linked if their sets of ``size``-word shingles have at least ``similarity`` in common (of those in
     either).  BK-trees over the fingerprints of all that share a band of min-hashes find the candidates; at 0.8, twenty
-    bands of four miss 3 links of 100,000, and fewer are further apart than ``radius`` bits.  Candidates only decide
-    which texts meet; the shingles themselves decide what is linked.
+    bands of four miss 3 links of 100,000.  Fingerprints are of the sets too: at 0.8 a bit differs with probability 3/16
+    at most (four shingles of five), so 28 bits miss 1.1 links of a million at most.  Candidates only decide which texts
+    meet; the shingles themselves decide what is linked.
     """
     found = saved(_contents(docs, size, bands, rows))
     # a content's id is its least document id; one without any gets a number of its own

@@ -1,3 +1,5 @@
+import inspect
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -117,3 +119,30 @@ def test_parts_of_a_group_lose_no_link(docs):
     whole = {(r.id, r.root) for r in simhash.similar_groups(docs).collect()}
     cut = {(r.id, r.root) for r in simhash.similar_groups(docs, tree_size=2, part_size=2).collect()}
     assert whole == cut and any(a != b for a, b in whole)
+
+
+def test_copies_that_differ_in_how_often_a_line_repeats(spark):
+    rnd = random.Random(0)
+    rows = []
+    for i in range(0, 120, 2):
+        body, line = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(n)) for n in (300, 10))
+        rows += [(i, "\n".join([body, line])), (i + 1, "\n".join([body] + [line] * 30))]
+    kept = simhash.stage(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == set(range(0, 120, 2))
+
+
+def test_the_radius_loses_fewer_links_than_the_bands():
+    """The chance that a bit differs between sets of similarity 0.8 or more, over all small sizes of the sets."""
+
+    def differs(common, a, b):
+        chance = lambda x, n, all_: sum(math.comb(n, k) for k in range(n + 1) if 2 * (x + k) > all_) / 2**n
+        total = 0.0
+        for x in range(common + 1):
+            p, q = chance(x, a, common + a), chance(x, b, common + b)
+            total += math.comb(common, x) / 2**common * (p * (1 - q) + q * (1 - p))
+        return total
+
+    p = max(differs(m, a, b) for m in range(1, 31) for a in range(m // 4 + 1) for b in range(m // 4 - a + 1))
+    radius = inspect.signature(simhash.similar_groups).parameters["radius"].default
+    beyond = sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(radius + 1, 65))
+    assert p == 3 / 16 and beyond < 0.1 * (1 - 0.8**4) ** 20
