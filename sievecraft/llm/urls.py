@@ -1,9 +1,9 @@
 """URL filters: host and path rules, then the verdict of a path-template tree.
 
 Per host, the paths of all pages form a tree.  Segments that are numbers or hashes become wildcards that keep their
-ending before anything is counted.  Then, level by level, the children of a node that nearly all differ become wildcards
-too, and branches whose labelled shares of bad pages do not differ from their node's by more than chance are merged into
-one.  A path's way through the tree is its template; a template is rejected by its labelled purity, smoothed towards that
+ending before anything is counted.  Then, level by level, the children of a node that have few pages and nearly all differ
+become wildcards too, and of the others those whose labelled shares of bad pages do not differ from their node's by more
+than chance are merged into one.  A path's way through the tree is its template; a template is rejected by its labelled purity, smoothed towards that
 of the corpus.
 
 Pages are counted by host and generalised path, combined before the shuffle, so a host with a third of all pages costs
@@ -31,7 +31,9 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 class Tree:
     #: Segments below this level are one wildcard.
     max_depth: int = 8
-    #: A node's children vary if there are so many, with fewer pages for each than this.
+    #: A child with fewer pages than this has few.
+    few_pages: int = 5
+    #: A node's children with few pages vary if there are so many, with fewer pages for each than this.
     many_children: int = 20
     pages_per_child: float = 2.0
     #: A branch stays apart if its share of bad pages is so many standard errors from its node's.
@@ -80,11 +82,12 @@ def templates(paths: DataFrame, tree: Tree = Tree()) -> DataFrame:
         here = state.withColumn("segment", F.get("segments", F.lit(level)))
         keys = [F.col(c).alias(f"k_{c}") for c in ("host", "template", "segment")]
         children = here.filter(F.col("segment").isNotNull()).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
+        few = F.col("n") < tree.few_pages
         nodes = children.groupBy(F.col("k_host").alias("n_host"), F.col("k_template").alias("n_template")).agg(
-            F.count("*").alias("children"), F.sum("n").alias("pages"), (F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share")
+            F.count_if(few).alias("children"), F.sum(F.when(few, F.col("n"))).alias("pages"), (F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share")
         )
         joined = children.join(nodes, (F.col("k_host") == F.col("n_host")) & (F.col("k_template") == F.col("n_template")))
-        varied = (F.col("children") >= tree.many_children) & (F.col("pages") < F.col("children") * tree.pages_per_child)
+        varied = few & (F.col("children") >= tree.many_children) & (F.col("pages") < F.col("children") * tree.pages_per_child)
         # one page's worth of the node's share keeps the test away from shares of exactly 0 and 1
         share = (F.col("bad") + F.col("share")) / (F.col("labelled") + 1)
         error = F.sqrt(F.greatest(F.col("share") * (1 - F.col("share")), F.lit(0.01)) / (F.col("labelled") + 1))

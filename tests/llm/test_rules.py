@@ -253,3 +253,12 @@ def test_a_host_of_unique_names_becomes_a_wildcard(spark):
     none = spark.createDataFrame([], "page_id long, bad boolean")
     found = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), none)
     assert {r.template for r in found.collect()} == {"/*"}
+
+
+def test_a_heavy_branch_among_unique_names_stays_apart(spark):
+    rnd = random.Random(3)
+    slugs = ["".join(rnd.choice("ghijklm") for _ in range(9)) for _ in range(200)]
+    pages = [(i, f"http://h.info/{x}") for i, x in enumerate(slugs)] + [(200 + i, f"http://h.info/casino/{i}") for i in range(180)]
+    labels = [(i, i >= 200) for i in range(380)]
+    found = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")).collect()
+    assert {(r.template, r.verdict) for r in found} == {("/*", "allow"), ("/casino/*", "block")}
