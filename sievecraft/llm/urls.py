@@ -7,7 +7,8 @@ than chance are merged into one.  A path's way through the tree is its template;
 of the corpus.
 
 Pages are counted by host and generalised path, combined before the shuffle, so a host with a third of all pages costs
-little more than any other; the levels work on these counts and are written to cut the lineage.
+little more than any other; the levels work on these counts and are written to cut the lineage.  They run to the
+deepest path; a path that is alone under its template is named to its end at once.
 
 Results for special cases: a null url or one without "://" has an empty host and path, no rule and the verdict of the
 empty template; repeated rows get a row each; null page ids have no label; unlabelled templates have the corpus' purity;
@@ -17,6 +18,7 @@ other columns of the tables play no part.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +31,6 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 
 @dataclass(frozen=True)
 class Tree:
-    #: Segments below this level are one wildcard.
-    max_depth: int = 8
     #: A child with fewer pages than this has few.
     few_pages: int = 5
     #: A node's children with few pages vary if there are so many, with fewer pages for each than this.
@@ -74,31 +74,42 @@ def shape(path: Column) -> Column:
     return F.array_join(F.transform(F.split(path, "/"), lambda x: F.when(_variable(x), _wildcard(x)).otherwise(x)), "/")
 
 
+def _is_wildcard(segment: Column) -> Column:
+    return segment.rlike(r"^(\*(\.[A-Za-z]{1,5})?)?$")
+
+
 def templates(paths: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """paths: host, path (a shape; distinct), n, labelled, bad.  The same with template."""
-    state = saved(paths.withColumns({"segments": F.split("path", "/"), "template": F.lit("")}))
-    depth = min(tree.max_depth, (state.agg(F.max(F.size("segments"))).first()[0] or 1) - 1)
-    for level in range(1, depth + 1):
+    state = saved(paths.withColumns({"segments": F.split("path", "/"), "template": F.lit(""), "alone": F.lit(False)}))
+    finished, level = [], 0
+    while True:
+        # a path has ended, or its rest has been named as it was alone under its template
+        ended = F.col("alone") | (F.size("segments") - 1 <= level)
+        finished.append(state.filter(ended))
+        state = state.filter(~ended)
+        if state.isEmpty():
+            return reduce(DataFrame.union, finished).drop("segments", "alone")
+        level += 1
         here = state.withColumn("segment", F.get("segments", F.lit(level)))
         keys = [F.col(c).alias(f"k_{c}") for c in ("host", "template", "segment")]
-        children = here.filter(F.col("segment").isNotNull()).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
+        children = here.filter(F.col("segment").isNotNull()).groupBy(*keys).agg(F.count("*").alias("paths"), *(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
         few = F.col("n") < tree.few_pages
         nodes = children.groupBy(F.col("k_host").alias("n_host"), F.col("k_template").alias("n_template")).agg(
-            F.count_if(few).alias("children"), F.sum(F.when(few, F.col("n"))).alias("pages"), (F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share")
+            F.count_if(few).alias("children"), F.sum(F.when(few, F.col("n"))).alias("pages"), (F.sum("paths") == 1).alias("k_alone"), (F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share")
         )
-        joined = children.join(nodes, (F.col("k_host") == F.col("n_host")) & (F.col("k_template") == F.col("n_template")))
+        joined = children.drop("paths").join(nodes, (F.col("k_host") == F.col("n_host")) & (F.col("k_template") == F.col("n_template")))
         varied = few & (F.col("children") >= tree.many_children) & (F.col("pages") < F.col("children") * tree.pages_per_child)
         # one page's worth of the node's share keeps the test away from shares of exactly 0 and 1
         share = (F.col("bad") + F.col("share")) / (F.col("labelled") + 1)
         error = F.sqrt(F.greatest(F.col("share") * (1 - F.col("share")), F.lit(0.01)) / (F.col("labelled") + 1))
         alike = F.abs(share - F.col("share")) <= tree.z * error
-        name = F.when(F.col("k_segment").rlike(r"^(\*(\.[A-Za-z]{1,5})?)?$"), F.col("k_segment")).when(varied, _wildcard(F.col("k_segment"))).when(alike, "~").otherwise(F.col("k_segment"))
-        named = joined.select("k_host", "k_template", "k_segment", name.alias("name"))
+        name = F.when(_is_wildcard(F.col("k_segment")), F.col("k_segment")).when(varied, _wildcard(F.col("k_segment"))).when(alike, "~").otherwise(F.col("k_segment"))
+        named = joined.select("k_host", "k_template", "k_segment", "k_alone", name.alias("name"))
         same = (F.col("host") == F.col("k_host")) & (F.col("template") == F.col("k_template")) & (F.col("segment") == F.col("k_segment"))
-        step = here.join(named, same, "left")
-        state = saved(step.select("host", "path", "n", "labelled", "bad", "segments", F.concat("template", F.coalesce(F.concat(F.lit("/"), "name"), F.lit(""))).alias("template")))
-    deeper = F.size("segments") - 1 > tree.max_depth
-    return state.withColumn("template", F.when(deeper, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))).drop("segments")
+        # alone, each further segment is the only child of its node, whose share is its own
+        rest = F.transform(F.slice("segments", level + 1, F.size("segments")), lambda x: F.when(_is_wildcard(x), x).otherwise("~"))
+        template = F.concat("template", F.lit("/"), F.when(F.col("k_alone"), F.array_join(rest, "/")).otherwise(F.col("name")))
+        state = saved(here.join(named, same).select("host", "path", "n", "labelled", "bad", "segments", template.alias("template"), F.col("k_alone").alias("alone")))
 
 
 def judge(pages: DataFrame, labels: DataFrame, tree: Tree = Tree(), rules: tuple = RULES) -> DataFrame:

@@ -262,3 +262,12 @@ def test_a_heavy_branch_among_unique_names_stays_apart(spark):
     labels = [(i, i >= 200) for i in range(380)]
     found = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")).collect()
     assert {(r.template, r.verdict) for r in found} == {("/*", "allow"), ("/casino/*", "block")}
+
+
+def test_sections_below_many_levels_stay_apart(spark):
+    deep = "/".join("abcdefghijkl")
+    pages = [(i, f"http://h.info/{deep}/{('good', 'bad')[i % 2]}/{i}") for i in range(100)] + [(100, "http://h.info/" + "x/" * 900 + "7.html")]
+    labels = [(i, i % 2 == 1) for i in range(100)]
+    found = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")).collect()
+    assert len(found) == 101 and all(r.verdict == ("block" if "/bad/" in r.path else "allow") for r in found if r.page_id < 100)
+    assert next(r.template for r in found if r.page_id == 100) == "/~" * 900 + "/*.html"
