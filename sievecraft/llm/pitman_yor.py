@@ -4,13 +4,14 @@ Every context word has a restaurant whose dishes are the next words; all share t
 whose own base is uniform over the training words and one unknown word.  The seating of a dish is sampled by Gibbs: given
 all other tables of its restaurant and the parent's probability of the dish, the number of its tables has the weights
 S(c, t) * (theta + d*T)(theta + d*(T+1))... * P(w)^t, with generalised Stirling numbers S, which sums over all seatings of
-the c customers at t tables.  Each table sends a customer to the parent, whose dishes are seated in the same way.  After
-some sweeps several samples are kept, and a token's probability is the average of the samples' predictive probabilities.
+the c customers at t tables.  Each table sends a customer to the parent, whose dishes are seated in the same way, in
+sweeps of its own until its tables settle.  After some sweeps several samples are kept, and a token's probability is the average of the samples' predictive probabilities.
 
 Distribution.  Restaurants are dealt into shards by their context; those with very many customers are split by dish and
 take their table total from their part, so no context fills a task.  During the sweeps of one shard the parent's
 probabilities stay as first estimated from the words' counts, and the tables of other dishes are those of the sweep
-before.  The texts are cut into chunks of about equal size; a chunk asks only for its distinct words and pairs, in
+before.  The parent is swept after the children, for each of their samples; a sweep takes one number of a sample from the
+one before, the sum of all tables.  The texts are cut into chunks of about equal size; a chunk asks only for its distinct words and pairs, in
 compressed arrays, so tokens themselves are never shuffled, and a word or pair costs a chunk one entry however often it
 occurs.  Nothing that grows with the corpus is collected or broadcast.
 
@@ -48,6 +49,9 @@ class Model:
     parent_strength: float = 50.0
     burn_in: int = 2
     samples: int = 3
+    #: The parent's sweeps end when no sample's tables change by more than this share, and after so many.
+    parent_change: float = 0.005
+    parent_sweeps: int = 50
     #: The base score's additive constant, and the remainder (of ``folds``) that is held out.
     add: float = 0.1
     folds: int = 10
@@ -311,30 +315,73 @@ def _seat(frame: pd.DataFrame, model: Model, total: int, types: int) -> pd.DataF
     return _frame(rows)
 
 
-def _seat_parent(frame: pd.DataFrame, model: Model, types: int) -> pd.DataFrame:
-    """Of one bucket of words: the parent's seating, and the answers (kind 8) to the chunks that asked (kind 2); totals."""
+_PARENT = _ROW + ", customers array<long>, tables array<long>"
+
+
+def _merge_words(frame: pd.DataFrame, model: Model) -> pd.DataFrame:
+    """Of one bucket of words: a row of kind 10, its contexts, parent customers and tables, with one table for each word."""
     part = int(frame["part"].iloc[0])
-    rows = sorted(((int(k), int(c), get(b)) for k, c, b in zip(frame["kind"], frame["chunk"], frame["blob"])), key=lambda x: x[:2])
-    size = 1 + max(int(x["at"].max()) for _, _, x in rows)
+    rows = [(int(k), get(b)) for k, b in zip(frame["kind"], frame["blob"])]
+    size = 1 + max(int(x["at"].max()) for _, x in rows)
     names = [f"t{k}" for k in range(model.samples)]
     contexts = {k: np.zeros(size, np.int64) for k in ["c", *names]}
     customers = {k: np.zeros(size, np.int64) for k in names}
-    for kind, _, x in rows:
+    for kind, x in rows:
         if kind in (6, 7):
             for k, v in (contexts if kind == 6 else customers).items():
                 v[x["at"]] += x[k]
-    rng = np.random.default_rng([part, 21])
-    seated = {}
-    for k in names:
-        others = np.full(size, max(0.0, types - 1.0))
-        seated[k] = draw_tables(customers[k], others, np.full(size, 1.0 / (types + 1)), model.parent_discount, model.parent_strength, model.exact_customers, rng)
-    out = []
-    for kind, chunk, x in rows:
-        if kind == 2:
-            at = x["at"]
-            out.append((8, chunk, part, put(c=contexts["c"][at], **{f"u{k}": contexts[k][at] for k in names}, **{f"w{k}": customers[k][at] for k in names}, **{f"s{k}": seated[k][at] for k in names}), None, None))
-    out.append((9, -1, part, b"", [int(customers[k].sum()) for k in names], [int(seated[k].sum()) for k in names]))
-    return _frame(out, _ROW + ", customers array<long>, tables array<long>")
+    tables = [np.minimum(customers[k], 1) for k in names]
+    words = {"c": contexts["c"], **{f"u{k}": contexts[k] for k in names}, **{f"w{k}": customers[k] for k in names}}
+    blob = pickle.dumps((put(**words), put(**{f"s{k}": t for k, t in zip(names, tables)})))
+    return _frame([(10, -1, part, blob, [int(customers[k].sum()) for k in names], [int(t.sum()) for t in tables])], _PARENT)
+
+
+def _sweep_parent(frames: Iterator[pd.DataFrame], model: Model, types: int, totals: list[int], sweep: int) -> Iterator[pd.DataFrame]:
+    """Rows of kind 10 after a sweep, given the tables of all buckets after the one before."""
+    for frame in frames:
+        rows = []
+        for part, blob, customers in zip(frame["part"], frame["blob"], frame["customers"]):
+            raw, seated = pickle.loads(blob)
+            words, seated = get(raw), get(seated)
+            rng = np.random.default_rng([int(part), 21, sweep])
+            for k, total in enumerate(totals):
+                c, t = words[f"wt{k}"], seated[f"st{k}"]
+                p = np.full(len(c), 1.0 / (types + 1))
+                seated[f"st{k}"] = draw_tables(c, np.maximum(0.0, total - t), p, model.parent_discount, model.parent_strength, model.exact_customers, rng)
+            rows.append((10, -1, int(part), pickle.dumps((raw, put(**seated))), list(customers), [int(seated[f"st{k}"].sum()) for k in range(len(totals))]))
+        yield _frame(rows, _PARENT)
+
+
+def _parent_totals(parent: DataFrame, model: Model) -> tuple[list[int], list[int]]:
+    each = parent.agg(*(F.sum(F.get(c, F.lit(k))) for c in ("customers", "tables") for k in range(model.samples))).first()
+    sums = [int(x or 0) for x in each]
+    return sums[: model.samples], sums[model.samples :]
+
+
+def _seat_parent(merged: DataFrame, model: Model, types: int) -> tuple[DataFrame, list[int], list[int]]:
+    """The parent's seating (kind 10) after sweeps over all words until its tables settle; its customers and tables."""
+    parent = saved(merged)
+    customers, tables = _parent_totals(parent, model)
+    for sweep in range(model.parent_sweeps):
+        before = tables
+        step = lambda frames, s=sweep, t=before: _sweep_parent(frames, model, types, t, s)
+        parent = saved(parent.mapInPandas(step, _PARENT))
+        _, tables = _parent_totals(parent, model)
+        if sweep >= model.burn_in and all(abs(t - b) <= model.parent_change * b for t, b in zip(tables, before)):
+            break
+    return parent, customers, tables
+
+
+def _answer_words(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket of words: the answers (kind 8) to the chunks that asked (kind 2)."""
+    raw, seated = pickle.loads(frame.loc[frame["kind"] == 10, "blob"].iloc[0])
+    words = get(raw) | get(seated)
+    asked = frame[frame["kind"] == 2]
+    rows = []
+    for chunk, part, blob in zip(asked["chunk"], asked["part"], asked["blob"]):
+        at = get(blob)["at"]
+        rows.append((8, int(chunk), int(part), put(**{k: v[at] for k, v in words.items()})))
+    return _frame(rows)
 
 
 def _score(chunk: Chunk, pairs: pd.DataFrame, words: pd.DataFrame, model: Model, total: int, types: int, customers: list[int], tables: list[int]) -> pd.DataFrame:
@@ -375,12 +422,11 @@ def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
 
     asked = chunks.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInPandas(lambda a, b: _ask_pairs(Chunk(a, b, model, parts), int(a["chunk"].iloc[0])), _ROW)
     seated = saved(asked.groupBy("part").applyInPandas(lambda x: _seat(x, model, total, types), _ROW))
-    parent = words.union(seated.filter("kind in (6, 7)")).groupBy("part").applyInPandas(lambda x: _seat_parent(x, model, types), _ROW + ", customers array<long>, tables array<long>")
-    parent = saved(parent)
-    each = [parent.agg(*(F.sum(F.get(c, F.lit(k))) for k in range(model.samples))).first() for c in ("customers", "tables")]
-    customers, tables = ([int(x or 0) for x in row] for row in each)
+    merged = words.union(seated.filter("kind in (6, 7)")).groupBy("part").applyInPandas(lambda x: _merge_words(x, model), _PARENT)
+    parent, customers, tables = _seat_parent(merged, model, types)
+    told = saved(words.union(parent.select("kind", "chunk", "part", "blob")).groupBy("part").applyInPandas(_answer_words, _ROW))
 
-    answers = words.union(seated.filter("kind = 5")).union(parent.filter("kind = 8").select("kind", "chunk", "part", "blob"))
+    answers = words.union(seated.filter("kind = 5")).union(told)
 
     def finish(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         of = lambda k: b[b["kind"] == k]

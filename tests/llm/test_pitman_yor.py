@@ -76,3 +76,20 @@ def test_probabilities_sum_to_one(spark):
 def test_packing_of_arrays():
     for x in ([], [0], [1, 255, 256, 70_000, 1 << 40], list(range(1000))):
         assert py.get(py.put(a=np.array(x, np.int64), b=np.array([3])))["a"].tolist() == x
+
+
+def test_the_parent_settles(spark):
+    """Its tables against the fixed point of their expectation, over words with many customers."""
+    model, size = py.Model(), 3000
+    n = np.maximum(1, 3000 // np.arange(1, size + 1))
+    blob = py.put(at=np.arange(size), **{f"t{k}": n for k in range(model.samples)})
+    asked = spark.createDataFrame([(2, 5, 0, py.put(at=np.arange(size), n=n)), (7, 0, 0, blob)], py._ROW)
+    merged = asked.groupBy("part").applyInPandas(lambda x: py._merge_words(x, model), py._PARENT)
+    _, customers, tables = py._seat_parent(merged, model, size)
+    total, once, rng = float(size), None, np.random.default_rng(7)
+    for _ in range(60):
+        drawn = py.draw_tables(n, np.full(size, total - 1), np.full(size, 1 / (size + 1)), model.parent_discount, model.parent_strength, model.exact_customers, rng)
+        total = float(drawn.sum())
+        once = once or total
+    assert customers == [int(n.sum())] * model.samples
+    assert all(t == pytest.approx(total, rel=0.03) and t > 1.1 * once for t in tables)
