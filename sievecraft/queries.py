@@ -132,7 +132,8 @@ def _hits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def multi_membership(spark: SparkSession, d: str) -> DataFrame:
-    names = _hits(spark, d).filter("query_name <= 8").groupBy("full_name").agg(F.sort_array(F.collect_set(F.concat(F.lit("q"), "query_name"))).alias("query_names"))
+    label = F.concat(F.lit("q"), 1 + F.col("query_name") % 8)  # all suppliers, over the eight query groups
+    names = _hits(spark, d).groupBy("full_name").agg(F.sort_array(F.collect_set(label)).alias("query_names"))
     pool = names.join(_read(spark, d, "part"), F.col("full_name") == F.col("p_partkey")).select(F.concat("p_name", F.lit("/"), "p_partkey").alias("full_name"), F.floor("p_retailprice").alias("stars"), "query_names")
     queries = [Query(f"q{i}", "", w) for i, w in enumerate((0.5, 1.0, 0.25, 0.25, 2.0, 0.0, 1.0, 1.0), 1)]
     return sampling.select_repositories(pool, queries, Sampling("stratified", 60, 500, SEED, True, (Bucket("high", 950, None, 0.5), Bucket("low", 0, 949, 0.5)))).select("full_name", "stars", "query_names")

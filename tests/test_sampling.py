@@ -88,3 +88,13 @@ def test_samples_do_not_depend_on_partitions(spark):
     one = {r.full_name for r in sampling.sample(pool(spark, rows).coalesce(1), 50, cfg).collect()}
     many = {r.full_name for r in sampling.sample(pool(spark, rows[::-1]).repartition(7), 50, cfg).collect()}
     assert one == many and len(one) == 50
+
+
+def test_multi_membership_uses_every_hit(spark, tmp_path, monkeypatch):
+    from sievecraft import queries
+
+    spark.sql("select id as l_partkey, id + k * 1000 as l_suppkey, timestamp '2020-01-01' as l_shipdate from range(20) lateral view explode(array(1, 2)) as k").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("select id as p_partkey, 'part' as p_name, 900.0 + id as p_retailprice from range(20)").write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(queries.sampling, "select_repositories", lambda pool, *_: pool)
+    got = {r.full_name: r.query_names for r in queries.multi_membership(spark, str(tmp_path)).collect()}
+    assert got == {f"part/{i}": sorted({f"q{1 + (i + k * 1000) % 8}" for k in (1, 2)}) for i in range(20)}
