@@ -1,6 +1,7 @@
 """Credential detectors for source files, as expressions; a finding is a type and a line, never the value.
 
-The families are those that public scanners share; the patterns are our own and heuristic.
+The families are those that public scanners share; the patterns are our own and heuristic.  They only tell whether a line
+has a match.  Two begin at the first place where a match could start in a line or run, so that a line costs its length.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ PATTERNS = (
     ("Basic Auth Credentials", r"://[^:/?#@ \t\n]+:[^:/?#@ \t\n]+@"),
     ("GitHub Token", r"(ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9_]{36}"),
     ("GitLab Token", r"glpat-[A-Za-z0-9_-]{20,}"),
-    ("JSON Web Token", r"eyJ[A-Za-z0-9_=-]+\.[A-Za-z0-9_=-]+\.[A-Za-z0-9_.+/=-]*"),
-    ("NPM tokens", r"//.+/:_authToken=[A-Za-z0-9-]+"),
+    ("JSON Web Token", r"(?<![A-Za-z0-9_=-])(?:(?!eyJ)[A-Za-z0-9_=-])*+eyJ[A-Za-z0-9_=-]++\.[A-Za-z0-9_=-]++\."),
+    ("NPM tokens", r"(?m:^)(?:(?!//).)*+//.+/:_authToken=[A-Za-z0-9-]"),
     ("Private Key", r"BEGIN (DSA|EC|OPENSSH|PGP|RSA|SSH2 ENCRYPTED)? ?PRIVATE KEY"),
     ("PyPI Token", r"pypi-AgE[A-Za-z0-9_-]{50,}"),
     ("Secret Keyword", r"""(?i)(api_?key|auth_?key|private_?key|secret|passw(or)?d|pwd|token)["']?\]?[ \t]*(=|:|=>|:=)[ \t]*["'][^"'\s]{4,}["']"""),

@@ -29,7 +29,8 @@ def clean(text: Column) -> Column:
     texts do not have is looked for before it is replaced."""
     bare = F.when(text.startswith("\ufeff"), F.ltrim(text, F.lit("\ufeff"))).otherwise(text)
     feeds = F.transform(F.array(bare), lambda t: F.when(t.contains("\r"), F.regexp_replace(t, r"\r\n?", "\n")).otherwise(t))
-    trimmed = F.transform(feeds, lambda t: F.regexp_replace(t, rf"[{_SPACE_NO_LF}]+(?=\n|\z)", ""))
+    # a run of blanks is tried at its first character only and never given back, so long runs inside a line cost their length
+    trimmed = F.transform(feeds, lambda t: F.regexp_replace(t, rf"(?<![{_SPACE_NO_LF}])[{_SPACE_NO_LF}]++(?=\n|\z)", ""))
     return F.transform(trimmed, lambda t: strip(F.when(t.contains("\n\n\n"), F.regexp_replace(t, r"\n{3,}", "\n\n")).otherwise(t)))[0]
 
 

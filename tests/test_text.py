@@ -75,3 +75,24 @@ def test_invalid_utf8(spark):
     raw = [bytes(rnd.choice([0x41, 0xC3, 0xA9, 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x80, 0xFF]) for _ in range(rnd.randrange(9))) for _ in range(400)]
     rows = spark.createDataFrame([(bytearray(r),) for r in raw], "r binary").select("r", records.utf8(F.col("r"))).collect()
     assert all(t == bytes(r).decode("utf-8", "replace") for r, t in rows)
+
+
+def test_long_runs_cost_their_length(spark):
+    """A million blanks inside a line, and strings that begin a credential at every character."""
+    import time
+
+    from sievecraft.functions import credentials
+
+    texts = ["a" + " " * 1_000_000 + "b  \n c\t\n", "/" * 300_000, "eyJ" * 200_000, "token " * 200_000, '"' * 500_000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    frame.limit(0).select(text.clean(F.col("t"))).collect()
+    began = time.perf_counter()
+    got = {r.i: r for r in frame.select("i", text.clean(F.col("t")).alias("c"), F.size(credentials.findings(F.col("t"))).alias("n")).collect()}
+    assert time.perf_counter() - began < 20 and got[0].c == "a" + " " * 1_000_000 + "b\n c" and all(r.n == 0 for r in got.values())
+    lines = ["x //host/a/:_authToken=abc", "// no", "a //b //c/:_authToken=x", "//:_authToken=a", "eyJab.cd.", "xeyJab.cd.e", "eyJ.ab.c", "x.eyJab_.c-d.", "eyJab..", " //h/:_authToken=a"]
+    found = frame.sparkSession.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, t string").select("i", credentials.findings(F.col("t")).alias("f")).collect()
+    import re
+
+    old = {"NPM tokens": re.compile(r"//[^\n\r\u0085  ]+/:_authToken=[A-Za-z0-9-]+"), "JSON Web Token": re.compile(r"eyJ[A-Za-z0-9_=-]+\.[A-Za-z0-9_=-]+\.[A-Za-z0-9_.+/=-]*")}
+    for r in found:
+        assert {x.type for x in r.f} == {k for k, p in old.items() if p.search(lines[r.i])}, lines[r.i]
