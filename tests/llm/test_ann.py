@@ -64,3 +64,22 @@ def test_flat_arrays_hold_the_graph():
     again = ann.HNSW.of_flat(x, graph.flat())
     for q in rng.normal(size=(20, 8)):
         assert graph.search(q, 5, 40) == again.search(q, 5, 40)
+
+
+@pytest.mark.parametrize("shift, scale, noise", [(1000, 1, 1.0), (0, 1e19, 1.0), (0, 1e-19, 1.0), (1e6, 1e3, 1.0), (0, 1, 0.02)])
+def test_recall_wherever_the_vectors_lie(spark, shift, scale, noise):
+    """Far from the origin, very large, very small, and in narrow clusters."""
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(30, 16))
+    x = ((centers[np.arange(1500) % 30] + noise * rng.normal(size=(1500, 16)) + shift) * scale).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    expected, got = brute(rows), hits(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), shard_size=500))
+    same = sum(len({i for _, i in got[q]} & {i for _, i in expected[q]}) for q in expected)
+    assert same >= 0.95 * sum(map(len, expected.values()))
+
+
+def test_each_graph_is_read_by_one_task_with_all_blocks(spark, vectors):
+    """Blocks of any size give the same."""
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    few, many = (sorted(map(tuple, ann.search(frame, shard_size=700, block=n).collect())) for n in (1, 1000))
+    assert few == many
