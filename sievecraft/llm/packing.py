@@ -108,18 +108,19 @@ def _shard(n: int) -> Column:
 
 
 def pack(found: DataFrame, n_shards: int, most: int = 1024, open_bins: int = 4096) -> DataFrame:
-    """``found`` (pieces) with sequence_id and offset, by bounded-space best-fit; longer pieces come first in a shard."""
+    """``found`` (pieces) with sequence_id and offset, by bounded-space best-fit, online: a shard's pieces come in the order of
+    their documents (by the hash of the id, so that neighbours are not alike) and are placed for good one by one."""
     schema = found.schema
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "ids_crc32", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
+        frame = frame.sort_values(["came", "doc_id", "piece", "ids_crc32"], kind="stable")
         bins = BoundedBestFit(most, open_bins)
         placed = np.array([bins.add(n) for n in frame["length"].tolist()], np.int64).reshape(-1, 2)
         shard = frame["shard"].astype(np.int64)
-        return frame.drop(columns="shard").assign(sequence_id=shard * (1 << 40) + placed[:, 0], offset=placed[:, 1])
+        return frame.drop(columns=["shard", "came"]).assign(sequence_id=shard * (1 << 40) + placed[:, 0], offset=placed[:, 1])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    return found.withColumn("shard", _shard(n_shards)).groupBy("shard").applyInPandas(run, f"{fields}, sequence_id long, offset long")
+    return found.withColumns({"shard": _shard(n_shards), "came": F.xxhash64("doc_id")}).groupBy("shard").applyInPandas(run, f"{fields}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, most: int = 1024, end_id: int = 2, path: str | None = None, shard_chars: int = 40_000_000, open_bins: int = 4096) -> DataFrame:
