@@ -112,18 +112,40 @@ def test_insertions_and_deletions_are_reversible(docs, rows):
     assert dropped(docs, both) == brute_lines(rows)
     again = both.delete(odd.select("doc_id"))
     assert dropped(even, again) == dropped(even, first) == brute_lines([(d, t) for d, t in rows if d is None or d % 2 == 0])
+    assert dropped(even, both.delete(odd)) == dropped(even, first)
     gone = docs.filter("doc_id % 3 = 0")
     fewer = both.delete(gone.select("doc_id"))
     assert dropped(docs.filter("doc_id is null or doc_id % 3 <> 0"), fewer) == brute_lines([(d, t) for d, t in rows if d is None or d % 3])
-    held = {r.shard: lines.CuckooFilter.from_bytes(r.filter) for r in fewer.filters.collect()}
+    held = {r.shard: lines.CuckooFilter.from_bytes(r.filter) for r in fewer.table("filters").collect()}
     keys = [bytes(r.key) for r in fewer.shared().collect()]
     assert keys and all(held[int.from_bytes(k[14:], "big") % fewer.n_shards].has(k) for k in keys)
 
 
-def test_without_broadcast_the_result_is_the_same(docs):
+def test_a_change_touches_its_shards_only(spark, docs):
+    index = lines.LineIndex.of(docs, n_shards=500)
+    (version,) = index.held
+    one = spark.createDataFrame([(10**6, "A line of its own, quite long.\nThis line stands in very many of the documents here.")], "doc_id long, text string")
+    more = index.insert(one)
+    assert len(more.held[version]) == 498 and sum(map(len, more.held.values())) == 500
+    back = more.delete(one)
+    assert len(back.held[version]) == 498 and dropped(docs, back) == dropped(docs, index)
+
+
+def test_parts_of_any_size_give_the_same(docs):
     index = lines.LineIndex.of(docs)
-    found = [sorted((r.doc_id is None, r.doc_id, sorted(map(bytes, r.gone))) for r in index.dropped(docs, limit).collect()) for limit in (32 << 20, -1)]
-    assert found[0] == found[1] and found[0]
+    found = [sorted((r.doc_id is None, r.doc_id, sorted(map(bytes, r.gone))) for r in x.collect()) for x in (index.dropped(), index.dropped(part_size=3), index.dropped(docs))]
+    assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_keys_with_equal_buckets_and_fingerprints():
+    keys = [bytes(8) + bytes([i]) * 8 for i in range(12)]
+    made = lines.CuckooFilter(100)
+    for k in keys:
+        made.add(k)
+    made = lines.CuckooFilter.from_bytes(made.to_bytes())
+    for k in keys[:11]:
+        assert made.delete(k) and made.has(keys[11])
+    assert made.delete(keys[11]) and not made.has(keys[11]) and not made.delete(keys[11])
 
 
 def test_cuckoo_filter():
