@@ -7,8 +7,12 @@ shard larger than ``tree_size`` is cut into parts, and each pair of parts gets a
 searched for the members of the other; trees are thus bounded whatever shares a shard.  Each task unites what it links
 and returns a star of each group, never the pairs.
 
+The pipeline's stage links texts by the share of their shingles (``similar_groups``).
+
 Results for special cases: a null or empty text, or one without words, has fingerprint zero and is linked like any
-other; repeated rows get a row each; the component id is the least non-null id reached (null if there is none).
+other; repeated rows get a row each; the component id is the least non-null id reached (null if there is none), the
+smaller of tied ones; texts of any length are read whole, each by itself; an empty table gives an empty result; other
+columns play no part in the query and pass through ``stage`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -53,7 +57,7 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 4, text: str = "text", fast_batch: int = 500) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = 4, text: str = "text") -> DataFrame:
     """doc_id, fp of every row of ``docs``."""
 
     @F.pandas_udf("long")
@@ -216,47 +220,101 @@ def _permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(1, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, np.uint64)
 
 
-def band_keys(hashes: np.ndarray, bands: int, rows: int) -> list[int]:
-    """A key for each band of min-hashes: two sets share one with the chance of their similarity to the power of rows."""
-    if not len(hashes):
-        return [0] * bands
-    a, b = _permutations(bands * rows)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+def min_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    a, b = _permutations(n)
+    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(hashes), 4096):  # a block stays in the cache
         part = hashes[i : i + 4096]
-        for k in range(bands * rows):
-            mixed = part * a[k] + b[k]
-            least[k] = min(least[k], mixed.min())
-    return [int(x) for x in np.frombuffer(b"".join(xxhash.xxh64_digest(least[k * rows : (k + 1) * rows].tobytes()) for k in range(bands)), "<i8")]
+        for k in range(n):
+            least[k] = min(least[k], (part * a[k] + b[k]).min())
+    return least
+
+
+def band_keys(least: np.ndarray, bands: int) -> list[int]:
+    """A key for each band of min-hashes: two sets share one with the chance of their similarity to the power of its rows."""
+    return [int(x) for x in np.frombuffer(b"".join(xxhash.xxh64_digest(band.tobytes()) for band in least.reshape(bands, -1)), "<i8")]
 
 
 def _contents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, content (of the lower-cased words), fp, bands of every row."""
+    """doc_id, content (of the lower-cased words), fp, bands, marks (a byte of each min-hash) of every row."""
 
-    @F.pandas_udf("struct<content binary, fp long, bands array<long>>")
+    @F.pandas_udf("struct<content binary, fp long, bands array<long>, marks binary>")
     def of(texts: pd.Series) -> pd.DataFrame:
         out, seen = [], {}
         for t in texts:
             raw = t.encode().lower()
             content = xxhash.xxh3_128_digest(b" ".join(raw.split()))
             if content not in seen:
-                hashes = shingle_hashes(raw, size)
-                distinct = np.unique(hashes)  # as the similarity is that of sets
-                seen[content] = (fingerprint(distinct), band_keys(distinct, bands, rows))
+                distinct = np.unique(shingle_hashes(raw, size))  # as the similarity is that of sets
+                least = min_hashes(distinct, bands * rows)
+                seen[content] = (fingerprint(distinct), band_keys(least, bands), (least >> np.uint64(32)).astype(np.uint8).tobytes())
             out.append((content, *seen[content]))
-        return pd.DataFrame(out, columns=["content", "fp", "bands"])
+        return pd.DataFrame(out, columns=["content", "fp", "bands", "marks"])
 
     return docs.select("doc_id", of(F.coalesce("text", F.lit(""))).alias("x")).select("doc_id", "x.*")
 
 
-def _alike(members: DataFrame, size: int, similarity: float, part_size: int) -> DataFrame:
-    """members: root, n (how many share it), id, text.  u, v: those of one root whose sets of shingles are alike, as stars.
+def _candidates(keys: DataFrame, marks: DataFrame, radius: int, least_equal: int, part_size: int) -> DataFrame:
+    """keys: band, key, fp, id; marks: of, marks.  u, v: what each band's shards hold to be alike, as stars: fingerprints
+    within the radius, found by BK-trees, and so many equal min-hashes."""
+    sizes = keys.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("band").alias("a"), F.col("key").alias("b"), F.ceil(F.col("n") / part_size).cast("int").alias("parts"))
+    dealt = keys.join(sizes, (F.col("band") == F.col("a")) & (F.col("key") == F.col("b"))).join(marks, F.col("id") == F.col("of"))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "fp", "id", "marks")
+    dealt = dealt.repartition("band", "key", "low", "high").sortWithinPartitions("band", "key", "low", "high", "part", "id")
+
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, union, out = None, Union(), _Stars()
+        tree, places, ids, table = BKTree(), {}, [], np.zeros((0, 0), np.uint8)
+        for batch in batches:
+            for band, key, low, high, part, fp, id_, raw in zip(*(batch[c].tolist() for c in ("band", "key", "low", "high", "part", "fp", "id", "marks"))):
+                own = np.frombuffer(raw, np.uint8)
+                if (band, key, low, high) != group:
+                    out.add(union)
+                    group, union = (band, key, low, high), Union()
+                    tree, places, ids, table = BKTree(), {}, [], np.zeros((4, len(own)), np.uint8)
+                value = fp & 0xFFFFFFFFFFFFFFFF
+                if ids and (low == high or part == high):
+                    near = np.array([k for x in tree.within(value, radius) for k in places[x]], np.int64)
+                    for k in near[(table[near] == own).sum(1) >= least_equal].tolist():
+                        union.join(id_, ids[k])
+                if part == low:
+                    if value not in places:
+                        places[value] = []
+                        tree.add(value)
+                    places[value].append(len(ids))
+                    if len(ids) == len(table):
+                        table = np.concatenate((table, np.zeros_like(table)))
+                    table[len(ids)] = own
+                    ids.append(id_)
+            yield from out.full()
+        out.add(union)
+        yield out.frame()
+
+    return dealt.mapInPandas(link, "u long, v long")
+
+
+_HASH = 6  # bytes of a shingle's hash that are sent
+
+
+def _shingle_set(size: int):
+    @F.pandas_udf("binary")
+    def of(texts: pd.Series) -> pd.Series:
+        sets = (np.unique(shingle_hashes(t.encode(), size)) for t in texts)
+        return pd.Series([x.view(np.uint8).reshape(-1, 8)[:, :_HASH].tobytes() for x in sets], dtype=object)
+
+    return of
+
+
+def _alike(members: DataFrame, similarity: float, part_size: int) -> DataFrame:
+    """members: root, n (how many share it), id, own (its set of shingles).  u, v: those of one root whose sets are alike,
+    as stars.
 
     Roots with many members are cut into parts, and every pair of parts is compared in a task of its own.
     """
     dealt = members.withColumn("parts", F.ceil(F.col("n") / part_size).cast("int"))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "text")
+    dealt = dealt.select("root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "own")
     dealt = dealt.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "part", "id")
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,11 +323,13 @@ def _alike(members: DataFrame, size: int, similarity: float, part_size: int) ->
         ids: list[int] = []
         sizes: list[int] = []
         for batch in batches:
-            for root, low, high, part, id_, text in zip(*(batch[c].tolist() for c in ("root", "low", "high", "part", "id", "text"))):
+            for root, low, high, part, id_, raw in zip(*(batch[c].tolist() for c in ("root", "low", "high", "part", "id", "own"))):
                 if (root, low, high) != group:
                     out.add(union)
                     group, union, held, ids, sizes = (root, low, high), Union(), {}, [], []
-                own = np.unique(shingle_hashes(text.encode(), size)).tolist()
+                wide = np.zeros((len(raw) // _HASH, 8), np.uint8)
+                wide[:, :_HASH] = np.frombuffer(raw, np.uint8).reshape(-1, _HASH)
+                own = wide.view("<u8").ravel().tolist()
                 if ids and (low == high or part == high):
                     places = [held[h] for h in own if h in held]
                     if places:
@@ -288,29 +348,32 @@ def _alike(members: DataFrame, size: int, similarity: float, part_size: int) ->
     return dealt.mapInPandas(link, "u long, v long")
 
 
-def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 28, bands: int = 20, rows: int = 4, tree_size: int = 4096, part_size: int = 1000) -> DataFrame:
+def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 28, bands: int = 20, rows: int = 4, least_equal: int = 46, tree_size: int = 4096, part_size: int = 1000) -> DataFrame:
     """content, n_rows, id, component_id of every distinct content (lower-cased words) of ``docs``.
 
     Two contents are linked if their sets of ``size``-word shingles have at least ``similarity`` in common (of those in
-    either).  BK-trees over the fingerprints of all that share a band of min-hashes find the candidates; at 0.8, twenty
-    bands of four miss 3 links of 100,000.  Fingerprints are of the sets too: at 0.8 a bit differs with probability 3/16
-    at most (four shingles of five), so 28 bits miss 1.1 links of a million at most.  Candidates only decide which texts
-    meet; the shingles themselves decide what is linked.
+    either).  All that share a band of min-hashes are a shard; its BK-trees find the fingerprints within the radius, and of
+    these those are candidates that have ``least_equal`` of all min-hashes in common.  Only groups of candidates bring
+    their sets of shingles together, as hashes, never as texts, and these decide what is linked.
+
+    What a link at exactly 0.8 can be missed by: the bands with probability 3 in 100,000; the radius 1.1 in a million at
+    most (fingerprints are of the sets too: a bit differs with probability 3/16 at most, four shingles of five); the
+    equal min-hashes 1.3 in a million.
     """
     found = saved(_contents(docs, size, bands, rows))
     # a content's id is its least document id; one without any gets a number of its own
-    contents = found.groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_rows"), F.min("fp").alias("fp"), F.min("bands").alias("bands"))
+    contents = found.groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_rows"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
     nodes = saved(contents.withColumn("id", F.coalesce(F.col("low").cast("long"), F.xxhash64("content"))))
-    keys = nodes.select(F.posexplode("bands").alias("shard_a", "shard_b"), "fp", "id").withColumn("shard_a", F.col("shard_a").cast("long"))
-    near = components(_stars(keys, radius, tree_size))
+    keys = nodes.select(F.posexplode("bands").alias("band", "key"), "fp", "id")
+    near = components(_candidates(keys, nodes.select(F.col("id").alias("of"), "marks"), radius, least_equal, tree_size))
     near = saved(near.union(near.select("root", "root").distinct()))
     sizes = near.groupBy(F.col("root").alias("of")).agg(F.count("*").alias("n"))
     met = near.join(sizes, F.col("root") == F.col("of")).select("node", "root", "n")
     met = met.join(nodes.select("id", "content", "low"), F.col("node") == F.col("id")).select("root", "n", "id", F.col("content").alias("its"), F.col("low").alias("its_low"))
     # the text of one row of each content: that of its least id; rows that repeat are the same text
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    with_text = texts.join(met, F.col("doc_id") == F.col("its_low")).select("root", "n", "id", "its", "text")
-    alike = components(_alike(with_text, size, similarity, part_size))
+    members = texts.join(met, F.col("doc_id") == F.col("its_low")).select("root", "n", "id", _shingle_set(size)("text").alias("own"))
+    alike = components(_alike(members, similarity, part_size))
     rooted = nodes.join(alike.withColumnRenamed("root", "to"), nodes["id"] == F.col("node"), "left").select("content", "n_rows", "low", "id", F.coalesce("to", "id").alias("root"))
     ids = rooted.groupBy(F.col("root").alias("of")).agg(F.min("low").alias("component_id"))
     return rooted.join(ids, F.col("root") == F.col("of")).select("content", "n_rows", "low", "id", "root", "component_id")
