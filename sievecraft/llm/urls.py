@@ -2,17 +2,19 @@
 
 Per host, the paths of all pages form a tree.  Segments that are numbers or hashes become wildcards that keep their
 ending before anything is counted.  Then, level by level, the children of a node that have few pages and nearly all differ
-become wildcards too, and of the others those whose labelled shares of bad pages do not differ from their node's by more
-than chance are merged into one.  A path's way through the tree is its template; a template is rejected by its labelled purity, smoothed towards that
-of the corpus.
+become wildcards too.  Each of the others is compared with its siblings: it stays a branch of its own if it has labels
+enough and its share of bad pages differs from theirs by more than chance (a test of two proportions); all that are
+alike are merged into one.  A path's way through the tree is its template; a template is rejected by its labelled purity,
+smoothed towards that of the corpus.
 
 Pages are counted by host and generalised path, combined before the shuffle, so a host with a third of all pages costs
 little more than any other; the levels work on these counts and are written to cut the lineage.  They run to the
 deepest path; a path that is alone under its template is named to its end at once.
 
 Results for special cases: a null url or one without "://" has an empty host and path, no rule and the verdict of the
-empty template; repeated rows get a row each; null page ids have no label; unlabelled templates have the corpus' purity;
-other columns of the tables play no part.
+empty template; repeated rows get a row each; null page ids have no label; unlabelled templates have the corpus' purity, and
+an exact tie with the limit is rejected; paths of any depth are taken whole; an empty table gives an empty result; other
+columns of the tables play no part.
 """
 
 from __future__ import annotations
@@ -36,7 +38,8 @@ class Tree:
     #: A node's children with few pages vary if there are so many, with fewer pages for each than this.
     many_children: int = 20
     pages_per_child: float = 2.0
-    #: A branch stays apart if its share of bad pages is so many standard errors from its node's.
+    #: A branch stays apart if it has so many labels and its share of bad pages is so many standard errors from its siblings'.
+    min_labels: int = 5
     z: float = 2.58
     #: Pages' worth of the corpus' share that every template's share is smoothed by, and the share that is rejected.
     smoothing: float = 5.0
@@ -95,14 +98,15 @@ def templates(paths: DataFrame, tree: Tree = Tree()) -> DataFrame:
         children = here.filter(F.col("segment").isNotNull()).groupBy(*keys).agg(F.count("*").alias("paths"), *(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
         few = F.col("n") < tree.few_pages
         nodes = children.groupBy(F.col("k_host").alias("n_host"), F.col("k_template").alias("n_template")).agg(
-            F.count_if(few).alias("children"), F.sum(F.when(few, F.col("n"))).alias("pages"), (F.sum("paths") == 1).alias("k_alone"), (F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("share")
+            F.count_if(few).alias("children"), F.sum(F.when(few, F.col("n"))).alias("pages"), (F.sum("paths") == 1).alias("k_alone"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")
         )
         joined = children.drop("paths").join(nodes, (F.col("k_host") == F.col("n_host")) & (F.col("k_template") == F.col("n_template")))
         varied = few & (F.col("children") >= tree.many_children) & (F.col("pages") < F.col("children") * tree.pages_per_child)
-        # one page's worth of the node's share keeps the test away from shares of exactly 0 and 1
-        share = (F.col("bad") + F.col("share")) / (F.col("labelled") + 1)
-        error = F.sqrt(F.greatest(F.col("share") * (1 - F.col("share")), F.lit(0.01)) / (F.col("labelled") + 1))
-        alike = F.abs(share - F.col("share")) <= tree.z * error
+        others, all_ = F.col("all_labelled") - F.col("labelled"), F.col("all_labelled")
+        pooled = F.col("all_bad") / all_
+        error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / others))
+        apart = F.abs(F.col("bad") / F.col("labelled") - (F.col("all_bad") - F.col("bad")) / others) > tree.z * error
+        alike = ~F.when((F.col("labelled") >= tree.min_labels) & (others >= tree.min_labels), apart).otherwise(False)
         name = F.when(_is_wildcard(F.col("k_segment")), F.col("k_segment")).when(varied, _wildcard(F.col("k_segment"))).when(alike, "~").otherwise(F.col("k_segment"))
         named = joined.select("k_host", "k_template", "k_segment", "k_alone", name.alias("name"))
         same = (F.col("host") == F.col("k_host")) & (F.col("template") == F.col("k_template")) & (F.col("segment") == F.col("k_segment"))

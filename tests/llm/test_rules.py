@@ -293,3 +293,93 @@ def test_sections_below_many_levels_stay_apart(spark):
     found = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad boolean")).collect()
     assert len(found) == 101 and all(r.verdict == ("block" if "/bad/" in r.path else "allow") for r in found if r.page_id < 100)
     assert next(r.template for r in found if r.page_id == 100) == "/~" * 900 + "/*.html"
+
+
+def brute_templates(paths, tree):
+    """The tree as plain recursion.  paths: {(host, path): (n, labelled, bad)}; the template of each."""
+    out = {}
+
+    def wild(x):
+        return "*" + (re.search(r"(\.[A-Za-z]{1,5})$", x) or [""])[0]
+
+    def is_wild(x):
+        return re.fullmatch(r"(\*(\.[A-Za-z]{1,5})?)?", x) is not None
+
+    def descend(members, template, level):
+        for p in [p for p in members if len(p[1].split("/")) - 1 < level]:
+            out[p] = template
+        members = [p for p in members if len(p[1].split("/")) - 1 >= level]
+        children = defaultdict(list)
+        for p in members:
+            children[p[1].split("/")[level]].append(p)
+        total = lambda ps: [sum(paths[p][i] for p in ps) for i in range(3)]
+        few = [total(c)[0] for c in children.values() if total(c)[0] < tree.few_pages]
+        all_n, all_l, all_b = total(members)
+        merged = defaultdict(list)
+        for segment, c in children.items():
+            n, lab, bad = total(c)
+            rest = all_l - lab
+            apart = False
+            if lab >= tree.min_labels and rest >= tree.min_labels:
+                pooled = all_b / all_l
+                apart = abs(bad / lab - (all_b - bad) / rest) > tree.z * (pooled * (1 - pooled) * (1 / lab + 1 / rest)) ** 0.5
+            if is_wild(segment):
+                name = segment
+            elif n < tree.few_pages and len(few) >= tree.many_children and sum(few) < len(few) * tree.pages_per_child:
+                name = wild(segment)
+            else:
+                name = segment if apart else "~"
+            merged[name] += c
+        for name, c in merged.items():
+            descend(c, f"{template}/{name}", level + 1)
+
+    for host in {h for h, _ in paths}:
+        descend([p for p in paths if p[0] == host], "", 1)
+    return out
+
+
+def test_templates_against_a_plain_tree(spark):
+    rnd = random.Random(11)
+    tree = urls.Tree(few_pages=3, many_children=6)
+    pages, bad = [], {}
+    for i in range(3000):
+        depth = rnd.randrange(0, 5)
+        parts = [rnd.choice(["news", "casino", "blog", "x", "", "a.html", "q" * rnd.randrange(1, 9), str(rnd.randrange(50)), "s" + "".join(rnd.choice("ghjk") for _ in range(5))]) for _ in range(depth)]
+        pages.append((i, "https://" + rnd.choice(["a.info", "b.info", "c.info"]) + "".join("/" + x for x in parts)))
+        if rnd.random() < 0.4:
+            bad[i] = rnd.random() < (0.9 if "casino" in parts else 0.1)
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(list(bad.items()), "page_id long, bad boolean"), tree).collect()
+    shape = lambda p: "/".join("*" + (re.search(r"(\.[A-Za-z]{1,5})$", x) or [""])[0] if re.search(r"^[0-9]+([._-]|$)", x) or (re.search(r"^[0-9a-fA-F-]{8,}(\.|$)", x) and re.search("[0-9]", x)) else x for x in p.split("/"))
+    paths = defaultdict(lambda: [0, 0, 0])
+    for r in got:
+        x = paths[r.host, shape(r.path)]
+        x[0] += 1
+        x[1] += r.page_id in bad
+        x[2] += bad.get(r.page_id, False)
+    expected = brute_templates(paths, tree)
+    prior = sum(bad.values()) / len(bad)
+    share = defaultdict(lambda: [0, 0])
+    for p, (_, lab, b) in paths.items():
+        share[p[0], expected[p]][0] += lab
+        share[p[0], expected[p]][1] += b
+    for r in got:
+        template = expected[r.host, shape(r.path)]
+        lab, b = share[r.host, template]
+        assert r.template == template
+        assert r.verdict == ("block" if (b + tree.smoothing * prior) / (lab + tree.smoothing) >= tree.reject_share else "allow")
+    assert len({r.template for r in got}) > 20 and {r.verdict for r in got} == {"allow", "block"}
+
+
+def test_held_out_precision_and_recall(spark):
+    """Four labels of five are given; the verdicts are held against the fifth."""
+    rnd = random.Random(4)
+    pages, truth = [], {}
+    for i in range(4000):
+        host, section = rnd.choice("abcd"), rnd.choice(["news", "win", "blog", "deals", "about"])
+        pages.append((i, f"https://{host}.info/{section}/{rnd.randrange(10**6)}"))
+        truth[i] = rnd.random() < (0.95 if section == "win" or host + section == "adeals" else 0.05)
+    given = [(i, b) for i, b in truth.items() if i % 5]
+    verdict = {r.page_id: r.verdict for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(given, "page_id long, bad boolean")).collect()}
+    held = [i for i in truth if i % 5 == 0]
+    hit = sum(truth[i] and verdict[i] == "block" for i in held)
+    assert hit > 0.8 * sum(truth[i] for i in held) and hit > 0.9 * sum(verdict[i] == "block" for i in held)
