@@ -4,7 +4,9 @@ Pieces are dealt into shards by a hash, many more than one shard only where ther
 packed by itself, so no task grows with the input; a shard's last sequences are all that it may leave part empty.
 
 Results for special cases: a null or empty text is its end id; repeated rows are packed each; a document with a null id
-is packed like any other; an empty table gives an empty result.
+is packed like any other; of bins with equal room the one opened or filled last is taken online, the first one in the
+decreasing form; texts of any length are cut into as many pieces as they need; an empty table gives an empty result;
+other columns play no part.
 """
 
 from __future__ import annotations

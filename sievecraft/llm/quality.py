@@ -3,8 +3,9 @@
 All of it is built-in expressions; there is no shuffle, so a document's cost depends on nothing but its own text.
 
 Results for special cases: a null or empty text has no words and fails the base rule; lines without a word are
-neither counted nor dropped; rows are judged one by one, so repeated rows and null ids get their row each; other
-columns of the table pass through ``stage`` untouched, whatever their names.
+neither counted nor dropped; rows are judged one by one, so repeated rows and null ids get their row each; a value equal
+to a limit of the lines' symbols, marks or losses passes; texts of any length are read whole; an empty table gives an
+empty result; other columns of the table pass through ``stage`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ class Rules:
     boilerplate: tuple[str, ...] = (
         "accept cookies", "all rights reserved", "click here to", "cookie policy", "enable javascript", "lorem ipsum",
         "privacy policy", "sign up for our newsletter", "skip to content", "terms of use", "use of cookies",
+        "alle rechte vorbehalten", "datenschutzerkl", "newsletter abonnieren", "nutzungsbedingungen", "zum inhalt springen",
+        "aller au contenu", "conditions d'utilisation", "politique de confidentialit", "tous droits r", "utilisation de cookies",
+        "condiciones de uso", "derechos reservados", "ir al contenido", "pol\u00edtica de privacidad", "uso de cookies",
     )
     #: A line fails for this many marks like "!!" or "??" for each hundred words.
     max_bang_percent: int = 20

@@ -29,9 +29,13 @@ _SYMBOLS = "length(regexp_replace({0}, '[^#*$%&|<>]', '', 'g'))"
 _HAS_WORD = r"regexp_matches({0}, '[^\x20\x09-\x0D]')"
 
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
 def _line_fails(x: str, rules: quality.Rules) -> str:
     n, separators = f"len({_WORDS.format(x)})", f"length(regexp_replace({x}, '[^|»›•]', '', 'g'))"
-    phrases = " or ".join(f"contains(lower({x}), '{p}')" for p in rules.boilerplate)
+    phrases = " or ".join(f"contains(lower({x}), {_quoted(p)})" for p in rules.boilerplate)
     return f"""({_HAS_WORD.format(x)} and ({_SYMBOLS.format(x)} * 100 > {_WORD_CHARS.format(x)} * {rules.max_symbol_percent} or ({separators} >= {rules.nav_separators} and {n} <= ({separators} + 1) * {rules.nav_words})
   or len(regexp_extract_all({x}, '[!?]{{2}}')) * 100 > {n} * {rules.max_bang_percent} or (({phrases}) and {n} <= {rules.boilerplate_words})))"""
 
@@ -57,10 +61,6 @@ j as (select k.*, coalesce(doc_id <> keeper, false) as gone from k left join sha
 select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256 from j group by doc_id"""
 
 
-def _quoted(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
-
-
 def _secrets(own: secrets.Ownership = secrets.Ownership()) -> str:
     found = []
     for rank, (kind, pattern, group, least) in enumerate(secrets.BASE + secrets.WIDER):

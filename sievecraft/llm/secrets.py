@@ -9,7 +9,9 @@ Everything is built-in expressions.  The regular expressions run where the text
 shuffled, aggregated before the shuffle, so that a value copied into a third of all rows costs one row per task.
 
 Results for special cases: null or empty texts have no spans; a null source is an owner of its own; rows that repeat
-(id and text) get the same spans each; other columns pass through ``redact`` untouched.
+(id and text) get the same spans each; spans that begin together are ordered by kind, and a value with exactly the most
+owners or repositories counts as live; texts of any length are read whole; an empty table gives an empty result; other
+columns pass through ``redact`` untouched.
 """
 
 from __future__ import annotations
