@@ -9,7 +9,8 @@ Merging all pairs of a rank at once equals the order of one pre-token at a time
 merge makes a pair of a lower rank; where one would, only each pre-token's leftmost pair is merged in that step.
 
 Results for special cases: a null or empty text has no ids; rows are encoded one by one, so repeated rows and null ids
-get their row each; other columns play no part.
+get their row each; of pairs of equal rank the leftmost goes first; texts of any length are encoded whole; an empty table
+gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,15 +33,13 @@ def shared_folder(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, so that a lost executor costs no recomputation; the shuffle files that led to
-    it go, as nothing reads them again."""
-    spark = df.sparkSession
-    shared_folder(spark)
+@contextmanager
+def _cleaning(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile, shuffle files go once their query has ended, as nothing reads them again."""
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        return df.select("*").checkpoint(eager=True)
+        yield
     finally:
         if before is None:
             spark.conf.unset(_CLEANUP)
@@ -46,6 +47,32 @@ def saved(df: DataFrame) -> DataFrame:
             spark.conf.set(_CLEANUP, before)
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, so that a lost executor costs no recomputation; the shuffle files that led to
+    it go."""
+    shared_folder(df.sparkSession)
+    with _cleaning(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
+
+
+class Scratch:
+    """Tables written to a folder of their own in the shared folder, which goes when they have been used."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder, self.tables = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4()}", 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.tables}"
+        self.tables += 1
+        with _cleaning(self.spark):
+            df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_text(text: Column | str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

@@ -4,24 +4,30 @@ Every context word has a restaurant whose dishes are the next words; all share t
 whose own base is uniform over the training words and one unknown word.  The seating of a dish is sampled by Gibbs: given
 all other tables of its restaurant and the parent's probability of the dish, the number of its tables has the weights
 S(c, t) * (theta + d*T)(theta + d*(T+1))... * P(w)^t, with generalised Stirling numbers S, which sums over all seatings of
-the c customers at t tables.  Each table sends a customer to the parent, whose dishes are seated in the same way, in
-sweeps of its own until its tables settle.  After some sweeps several samples are kept, and a token's probability is the average of the samples' predictive probabilities.
+the c customers at t tables.  Each table sends a customer to the parent, whose dishes are seated in the same way.
 
-Distribution.  Restaurants are dealt into shards by their context; those with very many customers are split by dish and
-take their table total from their part, so no context fills a task.  During the sweeps of one shard the parent's
-probabilities stay as first estimated from the words' counts, and the tables of other dishes are those of the sweep
-before.  The parent is swept after the children, for each of their samples; a sweep takes one number of a sample from the
-one before, the sum of all tables.  The texts are cut into chunks of about equal size; a chunk asks only for its distinct words and pairs, in
-compressed arrays, so tokens themselves are never shuffled, and a word or pair costs a chunk one entry however often it
-occurs.  Nothing that grows with the corpus is collected or broadcast.
+The levels take turns.  At first every dish has one table; the parent is swept, given these, until its tables settle;
+then the children are swept, given the parent's probabilities, and after some sweeps several samples are kept; for each
+of them the parent is swept anew.  A token's probability is the average of the samples' predictive probabilities.
+
+Distribution.  Restaurants are dealt into shards by their context; those with very many customers are split by dish, so
+no context fills a task.  In a sweep the tables of other dishes are those of the sweep before, and a part of a split
+restaurant takes their total from its own; the probabilities use the totals over all parts.  A sweep of the parent takes
+one number of a sample from the one before, the sum of all tables.  The texts are cut into chunks of about equal size; a
+chunk asks only for its distinct words and pairs, in compressed arrays, so tokens themselves are never shuffled but with
+their chunk, and a word or pair costs a chunk one entry however often it occurs.  Nothing that grows with the corpus is
+collected or broadcast.  A chunk and a shard exchange one message, so both should grow with the corpus as far as a
+task's memory allows (``chunk_tokens``, ``shard_chars``).
 
 Results for special cases: a null or empty text is the end token alone; the remainder of a null id is that of the empty
 text (0: held out); repeated rows are repeated training texts and each get their row; without training texts all words
-are unknown and every token has probability 1.
+are unknown and every token has probability 1; a text of any length stays in one chunk; an empty table gives an empty
+result; other columns play no part.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 import zlib
 from collections import defaultdict
@@ -35,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, shards
+from .common import Scratch, saved, shards
 
 _END = b""
 _ROW = "kind int, chunk long, part int, blob binary"
@@ -52,14 +58,15 @@ class Model:
     #: The parent's sweeps end when no sample's tables change by more than this share, and after so many.
     parent_change: float = 0.005
     parent_sweeps: int = 50
-    #: The base score's additive constant, and the remainder (of ``folds``) that is held out.
+    #: The base score's additive constant, and the remainder that is held out.
     add: float = 0.1
     folds: int = 10
+    held_fold: int = 0
     chunk_tokens: int = 1_000_000
     shard_chars: int = 12_000_000
     #: Customers of a context for each of its parts.
     split_customers: int = 500_000
-    #: Up to so many customers a dish's tables are drawn from the exact weights; those beyond are seated in turn.
+    #: Up to so many customers a dish's Stirling numbers come from their recurrence, beyond from their sum or saddle point.
     exact_customers: int = 2000
 
 
@@ -68,11 +75,16 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
+#: Names of arrays that never decrease; their differences are sent.
+_RISING = ("u", "i")
+
+
 def put(**arrays: np.ndarray) -> bytes:
     """Non-negative integer arrays in their smallest type, byte by byte, compressed."""
     parts = {}
     for name, x in arrays.items():
-        x = _small(np.asarray(x))
+        x = np.asarray(x)
+        x = _small(np.diff(x, prepend=0) if name in _RISING else x)
         parts[name] = (x.dtype.str, np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes())
     return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, protocol=5))
 
@@ -81,7 +93,8 @@ def get(blob: bytes) -> dict[str, np.ndarray]:
     out = {}
     for name, (kind, raw) in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)).items():
         size = np.dtype(kind).itemsize
-        out[name] = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel().astype(np.int64)
+        x = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel().astype(np.int64)
+        out[name] = np.cumsum(x) if name in _RISING else x
     return out
 
 
@@ -95,34 +108,101 @@ def _frame(rows: list[tuple], columns: str = _ROW) -> pd.DataFrame:
 class Stirling:
     """log S(c, t) of generalised Stirling numbers for one discount: S(c+1, t) = S(c, t-1) + (c - d*t) * S(c, t)."""
 
+    TERMS = 160
+
     def __init__(self, discount: float, most: int) -> None:
         self.rows: list[np.ndarray] = [np.array([]), np.zeros(1)]
         self.discount, self.most = discount, most
+        jd = [j * discount for j in range(1, self.TERMS + 1)]
+        sines = [math.sin(math.pi * math.fmod(x, 2.0)) for x in jd]
+        self.signs = np.array([(-1.0) ** (j + 1) * np.sign(s) if abs(s) > 1e-9 else 0.0 for j, s in enumerate(sines, 1)])
+        self.fixed = np.array([math.lgamma(1 + x) + math.log(max(abs(s), 1e-300)) - math.lgamma(j + 1) - math.log(math.pi) for j, (x, s) in enumerate(zip(jd, sines), 1)])
 
     def row(self, c: int) -> np.ndarray:
-        """For t from 1 to c."""
+        """For t from 1 to c, by the recurrence."""
         while len(self.rows) <= c:
             n, last = len(self.rows) - 1, self.rows[-1]
             stay = np.append(last + np.log(n - self.discount * np.arange(1, n + 1)), -np.inf)
             self.rows.append(np.logaddexp(np.append(-np.inf, last), stay))
         return self.rows[c]
 
+    def at(self, c: int, t: np.ndarray) -> np.ndarray:
+        """For any c, at some t: the finite sum S(c, t) = sum over j of (-1)^j C(t, j) (-jd)(-jd+1)...(-jd+c-1) / (d^t t!)
+        where its terms do not cancel, else the saddle point of its generating function c! / t! ((1 - (1-x)^d) / d)^t."""
+        d, t = self.discount, np.asarray(t, np.float64)
+        out = np.empty(len(t))
+        tame = t * c**-d <= (11 / (1 - d)) ** (1 - d)
+        few, many = t[tame], t[~tame]
+        factorials = np.array([math.lgamma(x + 1) for x in t.tolist()])
+        if len(few):
+            rising = np.array([math.lgamma(max(c - j * d, 0.5)) for j in range(1, self.TERMS + 1)])
+            with np.errstate(divide="ignore"):
+                falling = np.cumsum(np.log(np.maximum(few[:, None] - np.arange(self.TERMS), 0.0)), axis=1)
+            logs = falling + self.fixed + rising
+            logs[:, self.signs == 0] = -np.inf
+            top = logs.max(1, keepdims=True)
+            out[tame] = top[:, 0] + np.log(np.maximum((np.exp(logs - top) * self.signs).sum(1), 1e-300)) - few * math.log(d) - factorials[tame]
+        if len(many):
+            ratio = c / np.minimum(many, c - 0.5)
+            low, high = np.full(len(many), -700.0), np.full(len(many), -1e-12)  # of log y, where y = 1 - x
+            for _ in range(80):
+                mid = (low + high) / 2
+                y = np.exp(mid)
+                over = d * (1 - y) * y ** (d - 1) / (1 - y**d) > ratio
+                low, high = np.where(over, mid, low), np.where(over, high, mid)
+            y = np.exp((low + high) / 2)
+            x, h = -np.expm1((low + high) / 2), (1 - y**d) / d
+            slope = x * y ** (d - 1) / h
+            spread = many * (slope + x * x * (1 - d) * y ** (d - 2) / h - slope**2)
+            out[~tame] = math.lgamma(c + 1) - factorials[~tame] + many * np.log(h) - c * np.log(x) - 0.5 * np.log(2 * math.pi * spread)
+        out[t >= c] = 0.0
+        return out
+
 
 _TABLES: dict[tuple[float, int], Stirling] = {}
 
 
+def _draw_many(c: int, others: float, p: float, stirling: Stirling, strength: float, rng: np.random.Generator) -> int:
+    """The number of tables of one dish with very many customers: the same weights, at up to 256 places of the range that
+    holds all but e^-30 of them."""
+    d = stirling.discount
+    first = strength / d + others
+
+    def weights(t: np.ndarray) -> np.ndarray:
+        return stirling.at(c, t) + t * math.log(d * p) + np.array([math.lgamma(first + x) for x in t.tolist()])
+
+    low, high = 1, c
+    t = np.unique(np.geomspace(low, high, 256).astype(np.int64))
+    while True:
+        w = weights(t)
+        good = np.flatnonzero(w > w.max() - 30)
+        a, z = int(t[max(0, good[0] - 1)]), int(t[min(len(t) - 1, good[-1] + 1)])
+        dense = len(t) == high - low + 1
+        if dense or (z - a) > 0.5 * (high - low):
+            break
+        low, high = a, z
+        t = np.unique(np.linspace(low, high, min(256, high - low + 1)).astype(np.int64))
+    gaps = np.diff(t, append=t[-1] + 1)
+    found = int(np.argmax(w + np.log(gaps) + rng.gumbel(size=len(w))))
+    return min(c, int(t[found]) + int(rng.integers(gaps[found])))
+
+
 def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float, most: int, rng: np.random.Generator) -> np.ndarray:
     """The number of tables of dishes with c customers, given the tables of other dishes and the dishes' probabilities."""
     stirling = _TABLES.setdefault((discount, most), Stirling(discount, most))
     t = np.ones(len(c), np.int64)
     t[c == 0] = 0
     order = np.argsort(c, kind="stable")
-    capped = np.minimum(c[order], most)
-    starts = np.flatnonzero(np.diff(capped, prepend=-1))
+    sorted_ = c[order]
+    starts = np.flatnonzero(np.diff(sorted_, prepend=-1))
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(c)]):
-        k = int(capped[a])
+        k = int(sorted_[a])
         if k < 2:
             continue
+        if k > most:
+            for i in order[a:b].tolist():
+                t[i] = _draw_many(k, float(others[i]), float(p[i]), stirling, strength, rng)
+            continue
         row, step = stirling.row(k), max(1, 2_000_000 // k)
         for i in range(a, b, step):
             at = order[i : min(b, i + step)]
@@ -130,10 +210,6 @@ def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: floa
             weights = row + rise + np.arange(1, k + 1) * np.log(p[at, None])
             weights += rng.gumbel(size=weights.shape)
             t[at] = 1 + np.argmax(weights, axis=1)
-    large = np.flatnonzero(c > most)
-    if len(large):
-        new = (strength + discount * others[large]) * p[large]
-        t[large] += rng.poisson(new * np.log((c[large] + new) / (most + new)))
     return t
 
 
@@ -159,7 +235,7 @@ def _chunks(frames: Iterator[pd.DataFrame], model: Model, n_buckets: int) -> Ite
         place[order] = np.arange(len(words))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         tokens = place[np.concatenate([np.array(t, np.int64) for t in texts])]
-        held = np.array([zlib.crc32((i or "").encode()) % model.folds == 0 for i in ids])
+        held = np.array([zlib.crc32((i or "").encode()) % model.folds == model.held_fold for i in ids])
         counts = np.bincount(tokens[~np.repeat(held, sizes)], minlength=len(words))
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         ordered = [words[i] for i in order.tolist()]
@@ -233,14 +309,14 @@ class Chunk:
         mixed += (gid[right].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(40)) % splits.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
         mixed ^= mixed >> np.uint64(29)
         shard = (mixed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % n_shards
-        order = np.argsort(shard, kind="stable")
+        order = np.lexsort((gid[right], gid[left], shard))
         place = np.empty(len(keys), np.int64)
         place[order] = np.arange(len(keys))
         #: The pair of each token, -1 if it or its context is unknown.
         self.pair = np.full(len(self.tokens), -1, np.int64)
         self.pair[known] = place[inverse]
         self.shard, self.left, self.right = shard[order], gid[left][order], gid[right][order]
-        self.pair_counts, self.splits, self.right_counts = pair_counts[order], splits[order], self.counts[right][order]
+        self.pair_counts, self.splits = pair_counts[order], splits[order]
 
     def per_document(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(np.repeat(np.arange(len(self.sizes)), self.sizes), weights=values, minlength=len(self.sizes))
@@ -252,78 +328,87 @@ def _ask_pairs(chunk: Chunk, number: int) -> pd.DataFrame:
     cuts = np.flatnonzero(np.diff(chunk.shard, prepend=-1)).tolist()
     for a, z in zip(cuts, [*cuts[1:], len(chunk.shard)]):
         s = slice(a, z)
-        level = np.round(8 * np.log2(chunk.right_counts[s])).astype(np.int64)  # the count to an eighth of an octave
-        rows.append((4, number, int(chunk.shard[a]), put(u=chunk.left[s], w=chunk.right[s], n=chunk.pair_counts[s], s=chunk.splits[s], q=level)))
+        rows.append((4, number, int(chunk.shard[a]), put(u=chunk.left[s], w=chunk.right[s], n=chunk.pair_counts[s], s=chunk.splits[s])))
     return _frame(rows)
 
 
-def _seat(frame: pd.DataFrame, model: Model, total: int, types: int) -> pd.DataFrame:
-    """Of one shard: merges the chunks' pairs, samples the seating, and answers.
+def _to_buckets(kind: int, shard: int, gid: np.ndarray, values: dict[str, np.ndarray]) -> list[tuple]:
+    """Sums of the values by word, a row for each bucket of words."""
+    order = np.argsort(gid, kind="stable")
+    ids, where = np.unique(gid[order], return_inverse=True)
+    sums = {k: np.bincount(where, weights=v[order], minlength=len(ids)).astype(np.int64) for k, v in values.items()}
+    parts = ids >> 32
+    cuts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
+    return [(kind, shard, int(parts[a]), put(at=ids[a:z] & 0xFFFFFFFF, **{k: v[a:z] for k, v in sums.items()})) for a, z in zip(cuts, [*cuts[1:], len(ids)])]
 
-    Rows of kind 5: to a chunk, its pairs' customers and tables in each sample; of kind 6 and 7: to a bucket of words,
-    the contexts' customers and tables, and the words' tables.
+
+def _open_shard(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of one shard: merges the chunks' pairs.
+
+    A row of kind 9, the shard with one table for each dish, and which of its dishes each chunk asked for; rows of kind 7:
+    to a bucket of words, the words' tables.
     """
     shard = int(frame["part"].iloc[0])
-    held = [(int(c), get(b)) for c, b in zip(frame["chunk"], frame["blob"])]
-    held.sort(key=lambda x: x[0])
+    held = sorted((int(c), get(b)) for c, b in zip(frame["chunk"], frame["blob"]))
     field = lambda name: np.concatenate([x[name] for _, x in held])
-    u, w, n, s, q = (field(name) for name in "uwnsq")
+    u, w, n, s = (field(name) for name in "uwns")
     order = np.lexsort((w, u))
-    su, sw = u[order], w[order]
-    new = np.concatenate(([True], (su[1:] != su[:-1]) | (sw[1:] != sw[:-1])))
+    u, w = u[order], w[order]
+    new = np.concatenate(([True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])))
     inverse = np.empty(len(u), np.int64)
     inverse[order] = np.cumsum(new) - 1
-    first = order[new]
     c = np.bincount(inverse, weights=n).astype(np.int64)
-    context = np.cumsum(np.concatenate(([0], (su[new][1:] != su[new][:-1]).astype(np.int64))))
-    split = s[first].astype(np.float64)
-    # the parent's probability as if every customer of a word had a table of its own
-    count = np.exp2(q[first] / 8)
-    p = (count - model.parent_discount + (model.parent_strength + model.parent_discount * types) / (types + 1)) / (total + model.parent_strength)
+    ends = np.cumsum([len(x["u"]) for _, x in held])
+    maps = [(chunk, put(i=x)) for (chunk, _), x in zip(held, np.split(inverse, ends[:-1]))]
+    blob = pickle.dumps((put(u=u[new], w=w[new], c=c, s=s[order][new]), maps))
+    return _frame([(9, shard, shard, blob), *_to_buckets(7, shard, w[new], {"t0": (c > 0).astype(np.int64)})])
+
+
+def _seat(frame: pd.DataFrame, model: Model) -> pd.DataFrame:
+    """Of one shard, given the parent's probabilities of its words (kind 11): samples the seating, and answers.
+
+    Rows of kind 5: to a chunk, its pairs' customers and tables in each sample; of kind 6 and 7: to a bucket of words,
+    the contexts' customers and tables, and the words' tables.
+    """
+    shard = int(frame["part"].iloc[0])
+    raw, maps = pickle.loads(frame.loc[frame["kind"] == 9, "blob"].iloc[0])
+    x = get(raw)
+    u, w, c, split = x["u"], x["w"], x["c"], x["s"].astype(np.float64)
+    told = frame[frame["kind"] == 11]
+    told = [(int(k) << 32, get(b)) for k, b in zip(told["chunk"], told["blob"])]  # sent by bucket
+    gid, level = (np.concatenate([y[name] + base * (name == "at") for base, y in told]) for name in ("at", "p"))
+    order = np.argsort(gid)
+    p = np.exp2(-level[order][np.searchsorted(gid, w, sorter=order)] / _LEVELS)
+    context = np.cumsum(np.concatenate(([0], (u[1:] != u[:-1]).astype(np.int64))))
     rng = np.random.default_rng([shard, 20])
     several = np.flatnonzero(c > 1)
     t = (c > 0).astype(np.int64)
-    n_contexts = int(context[-1]) + 1
     samples = []
     for sweep in range(model.burn_in + model.samples):
         if len(several):
-            tables = np.bincount(context, weights=t, minlength=n_contexts)
+            tables = np.bincount(context, weights=t)
             others = np.maximum(0.0, tables[context[several]] * split[several] - t[several])
             t = t.copy()
             t[several] = draw_tables(c[several], others, p[several], model.discount, model.strength, model.exact_customers, rng)
         if sweep >= model.burn_in:
             samples.append(t)
-    rows, at = [], 0
-    for chunk, x in held:
-        mine = inverse[at : at + len(x["u"])]
-        at += len(x["u"])
-        rows.append((5, chunk, shard, put(c=c[mine], **{f"t{k}": t[mine] for k, t in enumerate(samples)})))
-
-    def to_buckets(kind: int, gid: np.ndarray, values: dict[str, np.ndarray]) -> None:
-        order = np.argsort(gid, kind="stable")
-        gid = gid[order]
-        ids, where = np.unique(gid, return_inverse=True)
-        sums = {k: np.bincount(where, weights=v[order], minlength=len(ids)).astype(np.int64) for k, v in values.items()}
-        parts = ids >> 32
-        cuts = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
-        for a, z in zip(cuts, [*cuts[1:], len(ids)]):
-            rows.append((kind, shard, int(parts[a]), put(at=ids[a:z] & 0xFFFFFFFF, **{k: v[a:z] for k, v in sums.items()})))
-
     tables = {f"t{k}": t for k, t in enumerate(samples)}
-    to_buckets(6, u[first], {"c": c} | tables)
-    to_buckets(7, w[first], tables)
-    return _frame(rows)
+    rows = []
+    for chunk, blob in maps:
+        mine = get(blob)["i"]
+        rows.append((5, chunk, shard, put(c=c[mine], **{k: t[mine] for k, t in tables.items()})))
+    return _frame([*rows, *_to_buckets(6, shard, u, {"c": c} | tables), *_to_buckets(7, shard, w, tables)])
 
 
 _PARENT = _ROW + ", customers array<long>, tables array<long>"
 
 
-def _merge_words(frame: pd.DataFrame, model: Model) -> pd.DataFrame:
+def _merge_words(frame: pd.DataFrame, samples: int) -> pd.DataFrame:
     """Of one bucket of words: a row of kind 10, its contexts, parent customers and tables, with one table for each word."""
     part = int(frame["part"].iloc[0])
     rows = [(int(k), get(b)) for k, b in zip(frame["kind"], frame["blob"])]
     size = 1 + max(int(x["at"].max()) for _, x in rows)
-    names = [f"t{k}" for k in range(model.samples)]
+    names = [f"t{k}" for k in range(samples)]
     contexts = {k: np.zeros(size, np.int64) for k in ["c", *names]}
     customers = {k: np.zeros(size, np.int64) for k in names}
     for kind, x in rows:
@@ -352,26 +437,45 @@ def _sweep_parent(frames: Iterator[pd.DataFrame], model: Model, types: int, tota
         yield _frame(rows, _PARENT)
 
 
-def _parent_totals(parent: DataFrame, model: Model) -> tuple[list[int], list[int]]:
-    each = parent.agg(*(F.sum(F.get(c, F.lit(k))) for c in ("customers", "tables") for k in range(model.samples))).first()
+def _parent_totals(parent: DataFrame, samples: int) -> tuple[list[int], list[int]]:
+    each = parent.agg(*(F.sum(F.get(c, F.lit(k))) for c in ("customers", "tables") for k in range(samples))).first()
     sums = [int(x or 0) for x in each]
-    return sums[: model.samples], sums[model.samples :]
+    return sums[:samples], sums[samples:]
 
 
-def _seat_parent(merged: DataFrame, model: Model, types: int) -> tuple[DataFrame, list[int], list[int]]:
+def _seat_parent(rows: DataFrame, model: Model, types: int, samples: int) -> tuple[DataFrame, list[int], list[int]]:
     """The parent's seating (kind 10) after sweeps over all words until its tables settle; its customers and tables."""
-    parent = saved(merged)
-    customers, tables = _parent_totals(parent, model)
+    parent = saved(rows.groupBy("part").applyInPandas(lambda x: _merge_words(x, samples), _PARENT))
+    customers, tables = _parent_totals(parent, samples)
     for sweep in range(model.parent_sweeps):
         before = tables
         step = lambda frames, s=sweep, t=before: _sweep_parent(frames, model, types, t, s)
         parent = saved(parent.mapInPandas(step, _PARENT))
-        _, tables = _parent_totals(parent, model)
+        _, tables = _parent_totals(parent, samples)
         if sweep >= model.burn_in and all(abs(t - b) <= model.parent_change * b for t, b in zip(tables, before)):
             break
     return parent, customers, tables
 
 
+#: Steps of an octave in which probabilities are told to the shards, which only draw by them.
+_LEVELS = 1024
+
+
+def _tell_shards(frame: pd.DataFrame, model: Model, types: int, customers: int, tables: int) -> pd.DataFrame:
+    """Of one bucket of words: the parent's probabilities (kind 11, with the bucket as chunk) to the shards that named
+    them (kind 7)."""
+    raw, seated = pickle.loads(frame.loc[frame["kind"] == 10, "blob"].iloc[0])
+    n, t = get(raw)["wt0"], get(seated)["st0"]
+    p = (n - model.parent_discount * t + (model.parent_strength + model.parent_discount * tables) / (types + 1)) / (model.parent_strength + customers)
+    level = np.round(-np.log2(p) * _LEVELS).astype(np.int64)
+    named = frame[frame["kind"] == 7]
+    rows = []
+    for shard, part, blob in zip(named["chunk"], named["part"], named["blob"]):
+        at = get(blob)["at"]
+        rows.append((11, int(part), int(shard), put(at=at, p=level[at])))
+    return _frame(rows)
+
+
 def _answer_words(frame: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket of words: the answers (kind 8) to the chunks that asked (kind 2)."""
     raw, seated = pickle.loads(frame.loc[frame["kind"] == 10, "blob"].iloc[0])
@@ -384,7 +488,7 @@ def _answer_words(frame: pd.DataFrame) -> pd.DataFrame:
     return _frame(rows)
 
 
-def _score(chunk: Chunk, pairs: pd.DataFrame, words: pd.DataFrame, model: Model, total: int, types: int, customers: list[int], tables: list[int]) -> pd.DataFrame:
+def _score(chunk: Chunk, pairs: pd.DataFrame, words: pd.DataFrame, model: Model, total: int, types: int, customers: list[int], tables: list[int], each: bool = False) -> pd.DataFrame:
     tokens, before = chunk.tokens, chunk.before
     answers = [get(b) for _, b in sorted(zip(pairs["part"], pairs["blob"]), key=lambda x: x[0])]
     about = [get(b) for _, b in sorted(zip(words["part"], words["blob"]), key=lambda x: x[0])]
@@ -400,16 +504,16 @@ def _score(chunk: Chunk, pairs: pd.DataFrame, words: pd.DataFrame, model: Model,
     chance /= model.samples
     counts = chunk.counts[tokens]
     base = np.log10((counts + model.add) / (total + model.add * (types + 1)))
-    return pd.DataFrame(
-        {
-            "doc_id": chunk.ids, "held_out": chunk.held, "n_tokens": chunk.sizes, "n_known": chunk.per_document(counts > 0).astype(np.int64), "train_tokens": total,
-            "base_score": chunk.per_document(base), "score": chunk.per_document(np.log10(chance)),
-        }
-    )
+    out = {
+        "doc_id": chunk.ids, "held_out": chunk.held, "n_tokens": chunk.sizes, "n_known": chunk.per_document(counts > 0).astype(np.int64), "train_tokens": total,
+        "base_score": chunk.per_document(base), "score": chunk.per_document(np.log10(chance)),
+    }
+    return pd.DataFrame(out | {"chances": np.split(chance, np.cumsum(chunk.sizes)[:-1])} if each else out)
 
 
-def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+def score(docs: DataFrame, model: Model = Model(), each: bool = False) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; with ``each``, also the chances of
+    its tokens."""
     # ids pass as text, as pandas would make numbers with nulls inexact
     texts = docs.select(F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text"))
     parts = shards(docs, F.length("text") + 1, model.shard_chars)
@@ -420,19 +524,25 @@ def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     total, types = int(sums[0] or 0), int(sums[1] or 0)
     words = words.filter("kind = 2").select("kind", "chunk", "part", "blob")
 
+    scratch = Scratch(docs.sparkSession)
     asked = chunks.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInPandas(lambda a, b: _ask_pairs(Chunk(a, b, model, parts), int(a["chunk"].iloc[0])), _ROW)
-    seated = saved(asked.groupBy("part").applyInPandas(lambda x: _seat(x, model, total, types), _ROW))
-    merged = words.union(seated.filter("kind in (6, 7)")).groupBy("part").applyInPandas(lambda x: _merge_words(x, model), _PARENT)
-    parent, customers, tables = _seat_parent(merged, model, types)
+    opened = scratch.keep(asked.groupBy("part").applyInPandas(_open_shard, _ROW))
+    named = opened.filter("kind = 7")
+    first, customers, tables = _seat_parent(words.union(named), model, types, 1)
+    by_word = named.union(first.select("kind", "chunk", "part", "blob")).groupBy("part")
+    told = scratch.keep(by_word.applyInPandas(lambda x: _tell_shards(x, model, types, customers[0], tables[0]), _ROW))
+    seated = saved(opened.filter("kind = 9").union(told).groupBy("part").applyInPandas(lambda x: _seat(x, model), _ROW))
+    scratch.drop()
+    parent, customers, tables = _seat_parent(words.union(seated.filter("kind in (6, 7)")), model, types, model.samples)
     told = saved(words.union(parent.select("kind", "chunk", "part", "blob")).groupBy("part").applyInPandas(_answer_words, _ROW))
 
     answers = words.union(seated.filter("kind = 5")).union(told)
 
     def finish(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         of = lambda k: b[b["kind"] == k]
-        return _score(Chunk(a, of(2), model, parts), of(5), of(8), model, total, types, customers, tables)
+        return _score(Chunk(a, of(2), model, parts), of(5), of(8), model, total, types, customers, tables, each)
 
-    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(finish, "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double" + ", chances array<double>" * each)
     return scored.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 

@@ -61,16 +61,123 @@ def test_stirling_rows_and_draws():
     assert np.abs(np.bincount(drawn, minlength=c + 1)[1:] / n - exact / exact.sum()).max() < 0.01
 
 
+def test_large_stirling_numbers():
+    """The sum and the saddle point against the recurrence, up to a hundredth."""
+    for d in (0.3, 0.7, 0.75, 0.9):
+        s = py.Stirling(d, 10)
+        for c in (300, 1200):
+            exact = s.row(c)
+            t = np.unique(np.geomspace(1, c - 20, 60).astype(int))
+            assert np.abs(s.at(c, t) - exact[t - 1]).max() < 0.01
+            assert np.abs(np.diff(s.at(c, np.arange(20, c // 2))) - np.diff(exact[19 : c // 2 - 1])).max() < 0.01
+
+
+@pytest.mark.parametrize("others, p", [(5, 0.001), (300, 0.01), (20_000, 0.2)])
+def test_draws_of_many_customers(others, p):
+    """Against draws from the recurrence's weights."""
+    d, strength, c, n = 0.75, 0.5, 1500, 3000
+    near = py.draw_tables(np.full(n, c), np.full(n, others), np.full(n, p), d, strength, 2000, np.random.default_rng(1))
+    far = py.draw_tables(np.full(n, c), np.full(n, others), np.full(n, p), d, strength, 1000, np.random.default_rng(2))
+    assert far.mean() == pytest.approx(near.mean(), rel=0.02, abs=0.1) and far.std() == pytest.approx(near.std(), rel=0.08, abs=0.1)
+    assert far.min() >= 1 and far.max() <= c
+
+
+TINY = ["a b a c", "a b", "c a a b b", "b c c c a", "a b a b", ""] * 6
+
+
+def _tiny(spark, extra):
+    train = [i for i in range(300) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(300, 1500) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = list(zip(train, TINY)) + list(zip(held, extra))
+    return dict(zip(held, extra)), spark.createDataFrame(rows, "doc_id long, text string")
+
+
 def test_probabilities_sum_to_one(spark):
-    """Over every training word and the unknown one, after a known context."""
-    train = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10]
-    held = [i for i in range(200, 900) if zlib.crc32(str(i).encode()) % 10 == 0]
-    texts = [(i, t) for i, t in zip(train, ["a b a c", "a b", "c a a b b", "b c c c a"] * 5)]
-    asked = [(i, f"a {w}".strip()) for i, w in zip(held, ["a", "b", "c", "", "zzz"])]
-    got = {r.doc_id: r.score for r in py.query(spark.createDataFrame(texts + asked + [(held[9], "")], "doc_id long, text string")).collect()}
-    # P(a | end) P(w | a) P(end | w): compare through the texts' last tokens is not possible, so use one-token texts
-    first = {r.doc_id: r.score for r in py.query(spark.createDataFrame(texts + [(held[9], "")], "doc_id long, text string")).collect()}
-    assert 0 < 10 ** first[held[9]] < 1 and all(v < 0 for v in got.values())
+    """Over every training word, the end and the unknown word, after every known context and an unknown one."""
+    words = ["a", "b", "c", "zzz"]
+    texts, frame = _tiny(spark, [f"{u} {w}".strip() for u in words for w in (*words, "")] + words + [""])
+    for model in (py.Model(), py.Model(samples=1, burn_in=1), py.Model(split_customers=5, shard_chars=50)):
+        chance = {}
+        for r in py.score(frame, model, each=True).collect():
+            if r.doc_id in texts:
+                assert r.score == pytest.approx(sum(map(math.log10, r.chances)))
+                before = ""
+                for w, p in zip([*texts[r.doc_id].split(), ""], r.chances):
+                    assert chance.setdefault((before, w), p) == pytest.approx(p)
+                    before = w
+        for u in ("", *words):
+            assert sum(chance[u, w] for w in ("", *words)) == pytest.approx(1, abs=1e-9), u
+
+
+def plain_sampler(texts, model, sweeps, seed):
+    """The model by seating one customer at a time, in both levels; the mean predictive probabilities."""
+    rnd = np.random.default_rng(seed)
+    pairs = [(u, w) for t in texts for u, w in zip(["", *t.split()], [*t.split(), ""])]
+    words = sorted({w for _, w in pairs})
+    child, parent = {}, {}  # (u, w) and w: sizes of the tables
+
+    def base(w):
+        total, tables = sum(map(sum, parent.values())), sum(map(len, parent.values()))
+        own = parent.get(w, [])
+        return (sum(own) - model.parent_discount * len(own) + (model.parent_strength + model.parent_discount * tables) / (len(words) + 1)) / (model.parent_strength + total)
+
+    def sit(tables, discount, new):
+        weights = np.array([n - discount for n in tables] + [new])
+        k = rnd.choice(len(weights), p=weights / weights.sum())
+        if k == len(tables):
+            tables.append(1)
+            return True
+        tables[k] += 1
+        return False
+
+    def leave(tables):
+        k = rnd.choice(len(tables), p=np.array(tables) / sum(tables))
+        tables[k] -= 1
+        if not tables[k]:
+            tables.pop(k)
+            return True
+        return False
+
+    def tables_of(u):
+        return sum(len(t) for (v, _), t in child.items() if v == u)
+
+    def add(u, w):
+        new = (model.strength + model.discount * tables_of(u)) * base(w)
+        if sit(child.setdefault((u, w), []), model.discount, new):
+            every = sum(map(len, parent.values()))
+            sit(parent.setdefault(w, []), model.parent_discount, (model.parent_strength + model.parent_discount * every) / (len(words) + 1))
+
+    for u, w in pairs:
+        add(u, w)
+    mean, kept = Counter(), 0
+    for sweep in range(sweeps):
+        for u, w in pairs:
+            if leave(child[u, w]):
+                leave(parent[w])
+            add(u, w)
+        if sweep >= sweeps // 3:
+            kept += 1
+            for u in words:
+                n, t = sum(sum(x) for (v, _), x in child.items() if v == u), tables_of(u)
+                for w in words:
+                    own = child.get((u, w), [])
+                    mean[u, w] += (sum(own) - model.discount * len(own) + (model.strength + model.discount * t) * base(w)) / (model.strength + n)
+    return {k: v / kept for k, v in mean.items()}
+
+
+def test_against_a_plain_sampler(spark):
+    words = ["a", "b", "c"]
+    texts, frame = _tiny(spark, [f"{u} {w}".strip() for u in words for w in (*words, "")] + words)
+    model = py.Model(samples=40, burn_in=10)
+    expected = plain_sampler([r.text for r in frame.collect() if zlib.crc32(str(r.doc_id).encode()) % 10], model, 60, 3)
+    seen = 0
+    for r in py.score(frame, model, each=True).collect():
+        if r.doc_id in texts:
+            w = ["", *texts[r.doc_id].split(), ""]
+            for u, v, p in zip(w, w[1:], r.chances):
+                assert p == pytest.approx(expected[u, v], abs=0.03), (u, v)
+                seen += 1
+    assert seen > 20
 
 
 def test_packing_of_arrays():
@@ -84,8 +191,7 @@ def test_the_parent_settles(spark):
     n = np.maximum(1, 3000 // np.arange(1, size + 1))
     blob = py.put(at=np.arange(size), **{f"t{k}": n for k in range(model.samples)})
     asked = spark.createDataFrame([(2, 5, 0, py.put(at=np.arange(size), n=n)), (7, 0, 0, blob)], py._ROW)
-    merged = asked.groupBy("part").applyInPandas(lambda x: py._merge_words(x, model), py._PARENT)
-    _, customers, tables = py._seat_parent(merged, model, size)
+    _, customers, tables = py._seat_parent(asked, model, size, model.samples)
     total, once, rng = float(size), None, np.random.default_rng(7)
     for _ in range(60):
         drawn = py.draw_tables(n, np.full(size, total - 1), np.full(size, 1 / (size + 1)), model.parent_discount, model.parent_strength, model.exact_customers, rng)
