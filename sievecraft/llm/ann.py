@@ -208,7 +208,8 @@ def index(found: DataFrame, n_shards: int, m: int, ef: int) -> DataFrame:
         return pd.concat(list(build(frame)), ignore_index=True)
 
     dealt = found.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(n_shards)).cast("int"))
-    return dealt.groupBy("shard").applyInPandas(one, "shard int, dims int, ids array<array<long>>, vectors binary, graph array<binary>")
+    # a shard to a task: by range, as few hashes of shards would share tasks, and small shards would be put together
+    return dealt.repartitionByRange(n_shards, "shard").groupBy("shard").applyInPandas(one, "shard int, dims int, ids array<array<long>>, vectors binary, graph array<binary>")
 
 
 def _search_shards(tasks: DataFrame, k: int, ef: int) -> DataFrame:
@@ -253,7 +254,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, shard_size: int =
     asked = asked.groupBy("place").agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
     tasks = graphs.withColumn("place", F.lit(-1).cast("long")).unionByName(asked, allowMissingColumns=True)
-    tasks = tasks.repartition(n_shards, "shard").sortWithinPartitions("shard", "place")
+    tasks = tasks.repartitionByRange(n_shards, "shard").sortWithinPartitions("shard", "place")
     hits = _search_shards(tasks, k, ef)
     best = hits.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))  # an id with several vectors counts once
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))

@@ -114,6 +114,7 @@ class Stirling:
     def __init__(self, discount: float, most: int) -> None:
         self.rows: list[np.ndarray] = [np.array([]), np.zeros(1)]
         self.discount, self.most = discount, most
+        self.bands: dict[tuple[int, int], np.ndarray] = {}
         jd = [j * discount for j in range(1, self.TERMS + 1)]
         sines = [math.sin(math.pi * math.fmod(x, 2.0)) for x in jd]
         self.signs = np.array([(-1.0) ** (j + 1) * np.sign(s) if abs(s) > 1e-9 else 0.0 for j, s in enumerate(sines, 1)])
@@ -127,6 +128,15 @@ class Stirling:
             self.rows.append(np.logaddexp(np.append(-np.inf, last), stay))
         return self.rows[c]
 
+    def band(self, low: int, high: int) -> np.ndarray:
+        """The rows for c from ``low`` to ``high``, filled up with what no seating has."""
+        if (low, high) not in self.bands:
+            out = np.full((high - low + 1, high), -np.inf)
+            for c in range(low, high + 1):
+                out[c - low, :c] = self.row(c)
+            self.bands[low, high] = out
+        return self.bands[low, high]
+
     def at(self, c: int, t: np.ndarray) -> np.ndarray:
         """For any c, at some t: the finite sum S(c, t) = sum over j of (-1)^j C(t, j) (-jd)(-jd+1)...(-jd+c-1) / (d^t t!)
         where its terms do not cancel, else the saddle point of its generating function c! / t! ((1 - (1-x)^d) / d)^t."""
@@ -194,23 +204,21 @@ def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: floa
     t = np.ones(len(c), np.int64)
     t[c == 0] = 0
     order = np.argsort(c, kind="stable")
-    sorted_ = c[order]
-    starts = np.flatnonzero(np.diff(sorted_, prepend=-1))
-    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(c)]):
-        k = int(sorted_[a])
-        if k < 2:
-            continue
-        if k > most:
-            for i in order[a:b].tolist():
-                t[i] = _draw_many(k, float(others[i]), float(p[i]), stirling, strength, rng)
-            continue
-        row, step = stirling.row(k), max(1, 2_000_000 // k)
-        for i in range(a, b, step):
-            at = order[i : min(b, i + step)]
-            rise = np.cumsum(np.log(strength + discount * (others[at, None] + np.arange(k))), axis=1)
-            weights = row + rise + np.arange(1, k + 1) * np.log(p[at, None])
-            weights += rng.gumbel(size=weights.shape)
-            t[at] = 1 + np.argmax(weights, axis=1)
+    sorted_, low = c[order], 2
+    while low <= most:  # customers of about the same number at a time
+        high = min(most, low + low // 8)
+        a, b = np.searchsorted(sorted_, [low, high + 1]).tolist()
+        if a < b:
+            rows, step, seats = stirling.band(low, high), max(1, 2_000_000 // high), np.arange(high)
+            for i in range(a, b, step):
+                at = order[i : min(b, i + step)]
+                rise = np.cumsum(np.log(strength + discount * (others[at, None] + seats)), axis=1)
+                weights = rows[c[at] - low] + rise + (seats + 1) * np.log(p[at, None])
+                chance = np.cumsum(np.exp(weights - weights.max(1, keepdims=True)), axis=1)
+                t[at] = 1 + (chance < rng.random((len(at), 1)) * chance[:, -1:]).sum(1)
+        low = high + 1
+    for i in order[np.searchsorted(sorted_, most, "right") :].tolist():
+        t[i] = _draw_many(int(c[i]), float(others[i]), float(p[i]), stirling, strength, rng)
     return t
 
 
@@ -225,7 +233,7 @@ def _chunks(frames: Iterator[pd.DataFrame], model: Model, n_buckets: int) -> Ite
     """Rows of kind 0 (a chunk's tokens) and 1 (its words of one bucket, with their counts in training texts)."""
     number = 0
 
-    def close(ids: list, texts: list[list[int]], index: dict[bytes, int]) -> pd.DataFrame:
+    def close(ids: list, sizes: list[int], tokens: list[int], index: dict[bytes, int]) -> pd.DataFrame:
         nonlocal number
         chunk = TaskContext.get().partitionId() << 24 | number
         number += 1
@@ -234,8 +242,7 @@ def _chunks(frames: Iterator[pd.DataFrame], model: Model, n_buckets: int) -> Ite
         order = np.argsort(bucket, kind="stable")  # local ids go by bucket, so that a bucket's words are a slice
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        tokens = place[np.concatenate([np.array(t, np.int64) for t in texts])]
+        tokens = place[np.array(tokens, np.int64)]
         held = np.array([zlib.crc32((i or "").encode()) % model.folds == model.held_fold for i in ids])
         counts = np.bincount(tokens[~np.repeat(held, sizes)], minlength=len(words))
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
@@ -252,18 +259,19 @@ def _chunks(frames: Iterator[pd.DataFrame], model: Model, n_buckets: int) -> Ite
         index.default_factory = index.__len__
         return index
 
-    ids, texts, index, size = [], [], fresh(), 0
+    ids, sizes, tokens, index = [], [], [], fresh()
     for frame in frames:
         for doc, text in zip(frame["doc_id"], frame["text"]):
-            tokens = list(map(index.__getitem__, [*text.encode().lower().split(), _END]))
+            words = text.encode().lower().split()
+            tokens.extend(map(index.__getitem__, words))
+            tokens.append(index[_END])
             ids.append(doc)
-            texts.append(tokens)
-            size += len(tokens)
-            if size >= model.chunk_tokens:
-                yield close(ids, texts, index)
-                ids, texts, index, size = [], [], fresh(), 0
+            sizes.append(len(words) + 1)
+            if len(tokens) >= model.chunk_tokens:
+                yield close(ids, sizes, tokens, index)
+                ids, sizes, tokens, index = [], [], [], fresh()
     if ids:
-        yield close(ids, texts, index)
+        yield close(ids, sizes, tokens, index)
 
 
 def _count_words(frame: pd.DataFrame) -> pd.DataFrame:
@@ -293,8 +301,13 @@ class Chunk:
         self.sizes, self.held, self.tokens, end = x["sizes"], x["held"].astype(bool), x["tokens"], int(x["end"][0])
         parts = sorted((int(p), get(b)) for p, b in zip(words["part"], words["blob"]))
         self.parts = [(p, len(y["at"])) for p, y in parts]
-        self.counts = np.concatenate([y["n"] for _, y in parts])
         gid = np.concatenate([y["at"] + (p << 32) for p, y in parts])
+        #: Words are numbered anew in the order of their global numbers, so that pairs are sorted once.
+        self.order = np.argsort(gid)
+        rank = np.empty_like(self.order)
+        rank[self.order] = np.arange(len(gid))
+        gid, self.counts = gid[self.order], np.concatenate([y["n"] for _, y in parts])[self.order]
+        self.tokens, end = rank[self.tokens], int(rank[end])
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
         before[np.cumsum(self.sizes) - self.sizes] = end
@@ -310,7 +323,7 @@ class Chunk:
         mixed += (gid[right].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(40)) % splits.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
         mixed ^= mixed >> np.uint64(29)
         shard = (mixed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % n_shards
-        order = np.lexsort((gid[right], gid[left], shard))
+        order = np.argsort(shard.astype(np.uint16) if n_shards <= 1 << 16 else shard, kind="stable")
         place = np.empty(len(keys), np.int64)
         place[order] = np.arange(len(keys))
         #: The pair of each token, -1 if it or its context is unknown.
@@ -493,7 +506,7 @@ def _score(chunk: Chunk, pairs: pd.DataFrame, words: pd.DataFrame, model: Model,
     tokens, before = chunk.tokens, chunk.before
     answers = [get(b) for _, b in sorted(zip(pairs["part"], pairs["blob"]), key=lambda x: x[0])]
     about = [get(b) for _, b in sorted(zip(words["part"], words["blob"]), key=lambda x: x[0])]
-    word = {k: np.concatenate([x[k] for x in about]) for k in about[0]}
+    word = {k: np.concatenate([x[k] for x in about])[chunk.order] for k in about[0]}
     pair = {k: np.append(np.concatenate([x[k] for x in answers]), 0) for k in answers[0]} if answers else {k: np.zeros(1, np.int64) for k in ["c", *(f"t{k}" for k in range(model.samples))]}
     chance = np.zeros(len(tokens))
     d, strength, pd_, ps = model.discount, model.strength, model.parent_discount, model.parent_strength
