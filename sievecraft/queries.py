@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 GROUPS = tuple(Query(s, s, w) for s, w in zip(SEGMENTS, (0.5, 0.3, 0.2, 0.0, 0.25)))
 REPOSITORIES = RepositoryFilter(905, 30 * 1024, frozenset({"ECONOMY ANODIZED STEEL", "PROMO BRUSHED COPPER", "STANDARD POLISHED TIN"}))
 SAMPLING = Sampling("stratified", 300, 1000, SEED, True, BUCKETS)
+QUERY_WEIGHTS = (0.5, 1.0, 0.25, 0.25, 2.0, 0.0, 1.0, 1.0)
 REGISTERED = {"exact": "0", "structural": "1"}
 BUDGET = 500_000
 
@@ -139,8 +142,8 @@ def multi_membership(spark: SparkSession, d: str) -> DataFrame:
     label = F.concat(F.lit("q"), 1 + F.col("query_name") % 8)  # all suppliers, over the eight query groups
     names = _hits(spark, d).groupBy("full_name").agg(F.sort_array(F.collect_set(label)).alias("query_names"))
     pool = names.join(_read(spark, d, "part"), F.col("full_name") == F.col("p_partkey")).select(F.concat("p_name", F.lit("/"), "p_partkey").alias("full_name"), F.floor("p_retailprice").alias("stars"), "query_names")
-    queries = [Query(f"q{i}", "", w) for i, w in enumerate((0.5, 1.0, 0.25, 0.25, 2.0, 0.0, 1.0, 1.0), 1)]
-    return sampling.select_repositories(pool, queries, Sampling("stratified", 60, 500, SEED, True, (Bucket("high", 950, None, 0.5), Bucket("low", 0, 949, 0.5)))).select("full_name", "stars", "query_names")
+    queries = [Query(f"q{i}", "", w) for i, w in enumerate(QUERY_WEIGHTS, 1)]
+    return sampling.select_repositories(pool, queries, Sampling("stratified", 60, 500, SEED, True, (Bucket("high", 950, None, 0.5), Bucket("low", 0, 949, 0.5)))).select("full_name", "stars", F.array_join("query_names", ",").alias("query_names"))
 
 
 def _orders(spark: SparkSession, d: str) -> DataFrame:
@@ -286,7 +289,45 @@ _FOUND = f"found as (select doc_id, line_number, {_DETECT} as types from (select
 _SHAPE = "'def NAME ( NAME , NAME ) : return NAME + NUMBER' || repeat(' NAME = NUMBER', n)"
 _SOURCES = "sources as (select doc_id, coalesce(lang, '') as lang, len(string_split(text, chr(10))) as n from documents)"
 
+
+
+def _allocated(key: str, groups: str, scale: str, total: str) -> str:
+    """The largest-remainder allocation with table names of its own; ``groups``: name, weight, place, available."""
+    plain = f"groups as ({groups}){_ALLOCATE.format(scale=scale, total=total)}"
+    return re.sub(r"\b(groups|live|based|slots|won|allocated)\b", rf"\1_{key}", plain)
+
+
+def _memberships(most: int = 60, pool: int = 500) -> str:
+    """Query groups one after another: each takes its share of those that no group before it has taken, by stars' buckets."""
+    band = "case when stars >= 950 then 'high' when stars >= 0 then 'low' end"
+    strata = "select name, 0.5::double as weight, place, (select count(*) from {0} where bucket = b.name) as available from (values ('high', 0), ('low', 1)) b(name, place)"
+    picked = "select full_name from (select full_name, row_number() over (partition by bucket order by r, full_name) <= coalesce((select max(allocated_{0}) from allocated_{0} where name = bucket), 0) as c, r from {1}) order by c desc, r, full_name limit (select n from size_{0})"
+    out = [
+        "names as (select l_partkey as k, list_sort(list_distinct(list('q' || (1 + l_suppkey % 8)))) as query_names from lineitem group by 1)",
+        f"pool as (select full_name, stars, query_names, {band} as bucket from (select p_name || '/' || p_partkey as full_name, floor(p_retailprice)::bigint as stars, query_names from names join part on k = p_partkey))",
+        f"bounded as (select * from pool order by sha256('{SEED}:pool:' || full_name), full_name limit {pool})",
+        f"target as (select least({most}, count(*)) as n from pool)",
+    ]
+    listed = ", ".join(f"('q{i}', {w}::double, {i})" for i, w in enumerate(QUERY_WEIGHTS, 1))
+    queries = f"select name, weight, place, (select count(*) from bounded where list_contains(query_names, b.name)) as available from (values {listed}) b(name, weight, place)"
+    out.append(_allocated("all", queries, "(select n from target) * weight / (select sum(weight) from groups where weight > 0 and available > 0)", "(select n from target)"))
+    taken = "select null::varchar as full_name where false"
+    for i in range(1, len(QUERY_WEIGHTS) + 1):
+        out.append(f"free_{i} as (select *, sha256('{SEED}:query:q{i}:' || full_name) as r from bounded where list_contains(query_names, 'q{i}') and full_name not in ({taken}))")
+        out.append(f"size_{i} as (select least((select max(allocated_all) from allocated_all where name = 'q{i}'), (select count(*) from free_{i})) as n)")
+        out.append(_allocated(str(i), strata.format(f"free_{i}"), f"(select n from size_{i}) * weight", f"(select n from size_{i})"))
+        out.append(f"picked_{i} as ({picked.format(i, f'free_{i}')})")
+        taken = " union all ".join(f"select full_name from picked_{j}" for j in range(1, i + 1))
+    out.append(f"taken as ({taken})")
+    out.append(f"rest as (select *, sha256('{SEED}:fill:' || full_name) as r from pool where full_name not in (select full_name from taken))")
+    out.append("size_rest as (select least((select n from target) - (select count(*) from taken), (select count(*) from rest)) as n)")
+    out.append(_allocated("rest", strata.format("rest"), "(select n from size_rest) * weight", "(select n from size_rest)"))
+    out.append(f"filled as ({picked.format('rest', 'rest')})")
+    return f"with {', '.join(out)} select full_name, stars, array_to_string(query_names, ',') as query_names from pool where full_name in (select full_name from taken union all select full_name from filled)"
+
+
 ORACLES = {
+    "sample_multi_membership": _memberships(),
     "flagship": f"with {_ACCEPTED} select {_SPLIT.format('repository')} as split, count(*) as n, sum(length(code))::bigint as characters from accepted group by 1",
     "clean_text": f"with {_CLEAN} select doc_id, code from cleaned",
     "length_line_gates": f"with {_CLEAN} select doc_id, length(code)::bigint as characters, len(ls)::bigint as non_empty_lines, contains(text, chr(0)) as is_binary from lined",
