@@ -31,6 +31,12 @@ class Run:
     selected: DataFrame
     files: DataFrame
     stats: dict = field(default_factory=dict)
+    held: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Gives back what the run has kept in memory and on the executors' disks; its tables are not used after it."""
+        for df in self.held:
+            df.unpersist()
 
 
 def discover(hits: DataFrame, cfg: Config) -> DataFrame:
@@ -74,15 +80,17 @@ def preview(hits: DataFrame, state: dict[str, DataFrame], cfg: Config) -> tuple[
     return out, {"candidate_results": counts[0], "repositories_rejected": counts[1], "unique_candidates": candidates.count(), "repositories_skipped_previously_crawled": skipped, "repositories_selected": chosen.count()}
 
 
-def judge_files(found: DataFrame, registry: DataFrame, cfg: Config, start_bytes: int = 0) -> DataFrame:
+def judge_files(found: DataFrame, registry: DataFrame, cfg: Config, start_bytes: int = 0, held: list[DataFrame] | None = None) -> DataFrame:
     """found: repository, place, ord, file_path, size, text, r.  Every eligible file with its one outcome, and all that the
-    manifest holds."""
+    manifest holds.  What it persists joins ``held``."""
     f = cfg.file_filter
     eligible = files.first_eligible(found.filter(paths.eligible(F.col("file_path"), f.extensions, f.ignore_directories)), cfg.runtime.max_files_per_repository)
     small = F.coalesce(F.col("size") <= f.max_file_size_bytes, F.lit(True))
     none = F.lit(None).cast("string")
     judged = files.scan_secrets(files.process(eligible.filter(small), f, cfg.quality), cfg.security)
     judged = judged.persist(StorageLevel.MEMORY_AND_DISK)  # the parser runs once
+    if held is not None:
+        held.append(judged)
     order = ["place", "ord"]
     clear = judged.filter(F.col("reason").isNull() & ~F.col("secret"))
     unique = files.dedup(clear, registry, order, cfg.deduplication)
@@ -143,15 +151,17 @@ def build(spark: SparkSession, cfg: Config, hits: DataFrame, repository_files, p
 
     found = repository_files(chosen)
     failed = spark.createDataFrame([], "full_name string, error string")
-    if "error" in found.columns:  # rows of repositories that could not be read
-        found = found.persist(StorageLevel.MEMORY_AND_DISK)
+    if "error" in found.columns:  # fetched: landed once, so that dataset, manifest and state see the same commits, whatever is lost later
+        found = landed(found, f"{cfg.runtime.work_dir}/landed/files")
         failed = found.filter("error is not null").select(F.col("repository").alias("full_name"), "error")
         found = found.filter("error is null").drop("error")
         if not cfg.runtime.continue_on_repository_error and (first := failed.first()) is not None:
             raise RuntimeError(f"{first['full_name']}: {first['error']}")
         found = found.join(failed.select(F.col("full_name").alias("repository")), "repository", "left_anti")
     located = found.join(chosen.select(F.col("full_name").alias("repository"), "place", "r"), "repository")
-    done = judge_files(located, state["code_hashes"], cfg, start).persist(StorageLevel.MEMORY_AND_DISK)
+    held = [judged, chosen]
+    done = judge_files(located, state["code_hashes"], cfg, start, held).persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(done)
     accepted = done.filter("outcome = 'accepted'")
     mode = "overwrite" if fresh else "append"
     for split, path in (("train", out.train_file), ("validation", out.validation_file)):
@@ -174,7 +184,13 @@ def build(spark: SparkSession, cfg: Config, hits: DataFrame, repository_files, p
     stats["dataset_size_bytes"] = datasets.folder_bytes(spark, out.train_file, out.validation_file)
     stats["state"] = {r["status"]: r["n"] for r in counters.status_counts(state["repositories"]).collect()} | counters.hash_counts(state["code_hashes"]).first().asDict()
     write_stats(spark, stats, f"{cfg.runtime.work_dir}/stats")
-    return Run(chosen, done, stats)
+    return Run(chosen, done, stats, held)
+
+
+def landed(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` written to ``path`` once, in the place of an earlier run's, and read from there."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def write_stats(spark: SparkSession, stats: dict, path: str) -> None:

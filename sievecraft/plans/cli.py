@@ -6,6 +6,7 @@ import argparse
 import logging
 import sys
 from dataclasses import replace
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,13 @@ from ..state.snapshots import Snapshots
 from . import build as plans
 
 
-def setup_logging(level: str, file: str | None = None) -> logging.Logger:
+def setup_logging(level: str, work_dir: str | None = None) -> logging.Logger:
+    """Messages on the console, and in a file of the work folder where that is the driver's own."""
     handlers: list[logging.Handler] = [logging.StreamHandler()]
-    if file:
-        handlers.append(logging.FileHandler(file, encoding="utf-8"))
+    scheme, _, path = work_dir.partition("://") if work_dir and "://" in work_dir else ("file", "", work_dir)
+    if path and scheme == "file":
+        Path(path).mkdir(parents=True, exist_ok=True)
+        handlers.append(logging.FileHandler(Path(path) / "sievecraft.log", encoding="utf-8"))
     logging.basicConfig(level=level, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers, force=True)
     return logging.getLogger("sievecraft")
 
@@ -43,8 +47,8 @@ def searched(spark: SparkSession, cfg) -> tuple[DataFrame, DataFrame]:
     stored = Snapshots(spark, cfg.output.state_file).read()["query_progress"]
     at = {q.name: transitions.progress(stored, q.name, q.query) for q in cfg.github.queries}
     open_ = replace(cfg.github, queries=tuple(q for q in cfg.github.queries if not at[q.name][1]))
-    hits = search.search(spark, open_, {k: page for k, (page, _) in at.items()}).persist()
-    return hits, search.progress(hits, open_)
+    rows = plans.landed(search.search(spark, open_, {k: page for k, (page, _) in at.items()}), f"{cfg.runtime.work_dir}/landed/search")
+    return rows, search.progress(rows, open_)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -60,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
     except (OSError, ValueError) as e:
         print(f"Configuration error: {e}", file=sys.stderr)
         return 2
-    log = setup_logging(cfg.runtime.log_level)
+    log = setup_logging(cfg.runtime.log_level, cfg.runtime.work_dir)
     if cfg.github.token() is None:
         log.warning("%s is not set; requests go without authentication", cfg.github.token_env)
     if args.dry_run:
@@ -69,7 +73,8 @@ def main(argv: list[str] | None = None) -> int:
     try:
         spark = SparkSession.builder.appName("sievecraft").getOrCreate()
         ship(spark)
-        hits, progress = (search.read_dump(spark, args.pages), None) if args.pages else searched(spark, cfg)
+        rows, progress = (search.read_dump(spark, args.pages), None) if args.pages else searched(spark, cfg)
+        hits = search.hits(rows)
         if args.preview:
             chosen, counts = plans.preview(hits, Snapshots(spark, cfg.output.state_file).read(), cfg)
             chosen.show(1000, truncate=False)
@@ -78,6 +83,7 @@ def main(argv: list[str] | None = None) -> int:
         fetched = landed_files(spark, args.archives, cfg) if args.archives else lambda selected: host.fetch_files(selected, cfg)
         run = plans.build(spark, cfg, hits, fetched, progress)
         print(run.stats)
+        run.release()
         return 0
     except KeyboardInterrupt:
         return 130

@@ -10,6 +10,7 @@ import io
 import tarfile
 import zipfile
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,24 +20,27 @@ from ..functions import records
 from ..schemas import ARCHIVE_FILE
 
 
-def _zip_entries(raw: bytes) -> Iterator[tuple[str, int, Callable[[], bytes | None]]]:
-    with zipfile.ZipFile(io.BytesIO(raw)) as archive:
+def _zip_entries(raw: BinaryIO) -> Iterator[tuple[str, int, Callable[[], bytes | None]]]:
+    with zipfile.ZipFile(raw) as archive:
         for info in archive.infolist():
             if not info.is_dir():
                 yield info.filename, info.file_size, lambda i=info: archive.read(i)
 
 
-def _tar_entries(raw: bytes) -> Iterator[tuple[str, int, Callable[[], bytes | None]]]:
-    with tarfile.open(fileobj=io.BytesIO(raw), mode="r:*") as archive:
+def _tar_entries(raw: BinaryIO) -> Iterator[tuple[str, int, Callable[[], bytes | None]]]:
+    with tarfile.open(fileobj=raw, mode="r:*") as archive:
         for member in archive:
             if member.isfile():
                 handle = archive.extractfile(member)
                 yield member.name, member.size, lambda h=handle: None if h is None else h.read()
 
 
-def entries(raw: bytes, admits: Callable[[str, int], bool] = lambda path, size: True) -> Iterator[tuple[int, str, int, bytes]]:
+def entries(raw: bytes | BinaryIO, admits: Callable[[str, int], bool] = lambda path, size: True) -> Iterator[tuple[int, str, int, bytes]]:
     """ord, path below the archive's root folder, size and content of the files that ``admits`` takes, in archive order."""
-    opened = _zip_entries(raw) if zipfile.is_zipfile(io.BytesIO(raw)) else _tar_entries(raw)
+    file = io.BytesIO(raw) if isinstance(raw, bytes) else raw
+    is_zip = zipfile.is_zipfile(file)
+    file.seek(0)
+    opened = _zip_entries(file) if is_zip else _tar_entries(file)
     for ord_, (name, size, content) in enumerate(opened):
         _, root, path = name.partition("/")
         if root and path and admits(path, size) and (data := content()) is not None:

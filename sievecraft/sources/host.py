@@ -6,7 +6,6 @@ A repository that fails gives one row with its error, so the others go on.
 from __future__ import annotations
 
 import base64
-import os
 import tempfile
 import time
 import urllib.error
@@ -14,6 +13,7 @@ import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +23,7 @@ from . import archives
 from .search import HttpError, request_json, wait_seconds
 
 FETCHED = "repository string, ord int, file_path string, size long, raw binary, commit string, error string"
+#: Fixed value: bytes of a download that are read at a time.
 _CHUNK = 8192
 
 
@@ -58,18 +59,18 @@ class Client:
             raise ValueError(f"unsupported encoding: {found.get('encoding')}")
         return base64.b64decode(found["content"])
 
-    def archive(self, owner: str, name: str, ref: str, kind: str = "zip") -> bytes:
-        """The archive, streamed to a file of the task's own and read from there."""
+    def archive(self, owner: str, name: str, ref: str, kind: str = "zip") -> BinaryIO:
+        """The archive, streamed to a nameless file of the task's own, which goes when it is closed."""
         url = f"{self.url}/repos/{owner}/{name}/{'zipball' if kind == 'zip' else 'tarball'}/{ref}"
         headers = {"X-GitHub-Api-Version": self.api_version, "User-Agent": "sievecraft"} | ({"Authorization": f"Bearer {self.token}"} if self.token else {})
         for attempt in range(self.retries + 1):
-            handle, path = tempfile.mkstemp()
+            out = tempfile.TemporaryFile()
             try:
-                with os.fdopen(handle, "wb") as out, urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=self.timeout) as answer:
+                with urllib.request.urlopen(urllib.request.Request(url, headers=headers), timeout=self.timeout) as answer:
                     while chunk := answer.read(_CHUNK):
                         out.write(chunk)
-                with open(path, "rb") as f:
-                    return f.read()
+                out.seek(0)
+                return out
             except urllib.error.HTTPError as e:
                 if e.code not in (403, 429) and e.code < 500 or attempt == self.retries:
                     raise HttpError(e.code, e.read().decode("utf-8", "replace")) from e
@@ -78,8 +79,7 @@ class Client:
                 if attempt == self.retries:
                     raise HttpError(0, str(e)) from e
                 time.sleep(self.backoff * 2**attempt)
-            finally:
-                os.unlink(path)
+            out.close()
         raise AssertionError("unreachable")
 
 
@@ -93,8 +93,8 @@ def _files(c: Client, owner: str, name: str, commit: str, cfg: Config) -> Iterat
     f = cfg.file_filter
     by_path, most = archives.admitting(f.extensions, f.ignore_directories), f.max_file_size_bytes
     if cfg.github.download_method == "archive":
-        raw = c.archive(owner, name, commit, cfg.github.archive_format)
-        yield from archives.entries(raw, by_path)
+        with c.archive(owner, name, commit, cfg.github.archive_format) as raw:
+            yield from archives.entries(raw, by_path)
         return
     for ord_, (prefix, e) in enumerate(c.files(owner, name, commit)):
         path, size = prefix + e["path"], int(e.get("size") or 0)
@@ -124,4 +124,6 @@ def fetch_files(selected: DataFrame, cfg: Config) -> DataFrame:
                 yield pd.DataFrame(rows, columns=columns).astype({"ord": "Int32", "size": "Int64"})
 
     asked = selected.selectExpr("full_name", "r.owner.login as login", "r.name as name", "r.default_branch as branch")
+    # the selected are few rows, in one partition after their limit; dealt out, many are fetched at a time
+    asked = asked.repartition(4 * selected.sparkSession.sparkContext.defaultParallelism, "full_name")
     return archives.decode(asked.mapInPandas(run, FETCHED)).drop("raw")

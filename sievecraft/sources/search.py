@@ -1,7 +1,8 @@
 """Repository search as a Spark data source.
 
-Each query is a partition whose pages are read one after another; the service ends a search after 1,000 results.  The
-offline form reads a dump of pages, with the same schema.  ``fetch`` can be replaced, for tests and other transports.
+Each query is a partition whose pages are read one after another; the service ends a search after 1,000 results.  After
+the hits of each page, also of an empty one, comes a row that says where a later run goes on.  The offline form reads a
+dump of pages, with the same schema.  ``fetch`` can be replaced, for tests and other transports.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..config import Host
-from ..schemas import SEARCH_HIT
+from ..schemas import SEARCH_ROW
 
 #: Fixed value: results of one search that the service gives.
 WINDOW = 1000
@@ -112,27 +114,28 @@ class _Reader(DataSourceReader):
             args = urllib.parse.urlencode({"q": partition.query, "sort": o.get("sort", "stars"), "order": o.get("order", "desc"), "per_page": size, "page": page})
             return request_json(f"{o['url']}/search/repositories?{args}", o.get("token"), o.get("api_version", "2022-11-28"), float(o.get("timeout", 30)), int(o.get("retries", 4)), float(o.get("backoff", 2)))
 
-        for page, items, _ in pages(fetch, int(o.get("page_size", 100)), int(o.get("max_repositories", 1000)), partition.start_page, int(o.get("max_pages", 0))):
+        for page, items, after in pages(fetch, int(o.get("page_size", 100)), int(o.get("max_repositories", 1000)), partition.start_page, int(o.get("max_pages", 0))):
             for position, item in enumerate(items):
-                yield partition.name, page, position, json.dumps(item, ensure_ascii=False)
+                yield partition.name, page, position, json.dumps(item, ensure_ascii=False), None, None
+            yield partition.name, page, None, None, after.next_page, after.exhausted
 
 
 class SearchSource(DataSource):
-    """spark.read.format("repository_search"): query_name, page, position, repo (JSON)."""
+    """spark.read.format("repository_search"): query_name, page, position, repo (JSON), next_page, exhausted."""
 
     @classmethod
     def name(cls) -> str:
         return "repository_search"
 
     def schema(self) -> str:
-        return SEARCH_HIT
+        return SEARCH_ROW
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
 
 
 def search(spark: SparkSession, host: Host, start_pages: dict[str, int] | None = None) -> DataFrame:
-    """The hits of all queries; ``start_pages`` goes on where an earlier run ended."""
+    """The rows of all queries; ``start_pages`` goes on where an earlier run ended."""
     spark.dataSource.register(SearchSource)
     listed = [{"name": q.name, "query": q.query, "start_page": (start_pages or {}).get(q.name, 1)} for q in host.queries]
     options = {
@@ -144,18 +147,18 @@ def search(spark: SparkSession, host: Host, start_pages: dict[str, int] | None =
     return spark.read.format("repository_search").options(**{k: str(v) for k, v in options.items()}).load()
 
 
-def progress(hits: DataFrame, host: Host) -> DataFrame:
-    """The rows of query_progress after ``hits``: on to the next page, or exhausted by a short page or the window."""
-    from pyspark.sql import functions as F
+def hits(rows: DataFrame) -> DataFrame:
+    """The hits among the rows of a search."""
+    return rows.filter("position is not null").select("query_name", "page", "position", "repo")
 
-    texts = hits.sparkSession.createDataFrame([(q.name, q.query) for q in host.queries], "name string, query_text string")
-    pages_ = hits.groupBy("query_name", "page").agg(F.count("*").alias("n"))
-    last = pages_.groupBy("query_name").agg(F.max(F.struct("page", "n")).alias("x"))
-    done = (F.col("x.n") < host.page_size) | (F.col("x.page") * host.page_size >= WINDOW)
-    out = last.join(texts, F.col("query_name") == F.col("name"))
-    return out.select("query_name", "query_text", F.when(done, F.col("x.page")).otherwise(F.col("x.page") + 1).alias("next_page"), done.alias("exhausted"), F.current_timestamp().alias("updated_at"))
+
+def progress(rows: DataFrame, host: Host) -> DataFrame:
+    """The rows of query_progress after a search: what its reader said after the last page of each query."""
+    texts = rows.sparkSession.createDataFrame([(q.name, q.query) for q in host.queries], "name string, query_text string")
+    last = rows.filter("next_page is not null").groupBy("query_name").agg(F.max(F.struct("page", "next_page", "exhausted")).alias("x"))
+    return last.join(texts, F.col("query_name") == F.col("name")).select("query_name", "query_text", "x.next_page", "x.exhausted", F.current_timestamp().alias("updated_at"))
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
     """The same from JSON lines written earlier."""
-    return spark.read.schema(SEARCH_HIT).json(path)
+    return spark.read.schema(SEARCH_ROW).json(path)

@@ -4,6 +4,7 @@ import io
 import json
 import tarfile
 import zipfile
+from dataclasses import replace
 
 import pytest
 
@@ -172,9 +173,16 @@ def test_search_source(spark):
     threading.Thread(target=server.serve_forever, daemon=True).start()
     try:
         host = config.Host("NO_SUCH_TOKEN", f"http://127.0.0.1:{server.server_port}", "1", (config.Query("one", "a"), config.Query("two", "b")), page_size=10)
-        rows = search.search(spark, host, {"two": 3}).collect()
+        found = search.search(spark, host, {"two": 3})
+        rows, after = search.hits(found).collect(), {r.query_name: (r.query_text, r.next_page, r.exhausted) for r in search.progress(found, host).collect()}
+        cut = replace(host, max_repositories=15)
+        limited = {r.query_name: (r.next_page, r.exhausted) for r in search.progress(search.search(spark, cut), cut).collect()}
+        last = {r.query_name: (r.next_page, r.exhausted) for r in search.progress(search.search(spark, host, {"one": 4, "two": 2}), host).collect()}
     finally:
         server.shutdown()
+    assert after == {"one": ("a", 3, True), "two": ("b", 3, True)}
+    assert limited == {"one": (3, False), "two": (3, False)}  # the limit ends the run, not the search
+    assert last == {"one": (4, True), "two": (3, True)}  # an empty last page says so
     assert sum(r.query_name == "one" for r in rows) == 25 and sum(r.query_name == "two" for r in rows) == 5
     assert {json.loads(r.repo)["full_name"] for r in rows if r.query_name == "two"} == {f"b/{i}" for i in range(20, 25)}
 
@@ -292,9 +300,37 @@ def test_build_from_a_host(spark, tmp_path, method, capsys):
     manifest = spark.read.json(cfg.output.metadata_file).collect()
     assert {(m.repository, m.file_path, m.tree_sha) for m in manifest} == {("o/a", "src/x.py", "sha-main"), ("o/b", "src/x.py", "sha-main")}
     stats = json.loads(spark.read.text(f"{cfg.runtime.work_dir}/stats").first()[0])
+    assert (tmp_path / "work" / "sievecraft.log").exists()
     assert stats["repositories_failed"] == 1 and stats["files_accepted"] == 2 and stats["skipped_large_file"] == (method == "blob") * 2
 
 
+def test_a_lost_task_does_not_fetch_again(spark, tmp_path):
+    """The commit that a branch is at moves while the run goes on; dataset, manifest and state keep the first."""
+    hits, _ = _world(spark)
+    cfg = config.from_mapping(raw(tmp_path))
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def fetched(selected):
+        def run(frames):
+            import pandas as pd
+
+            for frame in frames:
+                for name in frame["full_name"]:
+                    n = len(list(calls.iterdir()))
+                    (calls / f"{name.replace('/', '_')}-{n}").touch()
+                    yield pd.DataFrame([(name, 0, "a.py", 30, f"import os\nprint(os.name, {n})\n", f"commit-{n}", None)], columns=["repository", "ord", "file_path", "size", "text", "commit", "error"])
+
+        return selected.select("full_name").coalesce(1).mapInPandas(run, "repository string, ord int, file_path string, size long, text string, commit string, error string")
+
+    run = plans.build(spark, cfg, hits, fetched)
+    run.files.unpersist()  # as when an executor's blocks are lost
+    for df in run.held:
+        df.unpersist()
+    again = {(r.repository, r.tree_sha) for r in run.files.filter("outcome = 'accepted'").collect()}
+    assert len(list(calls.iterdir())) == 2 and {(m.repository, m.tree_sha) for m in spark.read.json(cfg.output.metadata_file).collect()} >= again
+
+
 def test_budget_stops_the_run(spark, tmp_path):
     hits, files = _world(spark)
     cfg = config.from_mapping(raw(tmp_path, output__max_dataset_size_bytes=60, output__include_metadata_in_dataset=False))
