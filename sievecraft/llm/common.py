@@ -55,11 +55,32 @@ def saved(df: DataFrame) -> DataFrame:
         return df.select("*").checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_unique(left: DataFrame, key: str, right: DataFrame, other: str, n: str, share: int = 1000, least: int = 10_000) -> DataFrame:
+    """``left`` joined with ``right``, whose ``other`` is unique and whose ``n`` says how many rows of ``left`` have it.
+
+    Keys with more than a share of all rows are fewer than ``share``, so their rows of ``right`` are broadcast: the rows of
+    ``left`` that have them stay where they are.
+    """
+    total = right.agg(F.sum(n)).first()[0] or 0
+    hot = [r[0] for r in right.filter(F.col(n) > max(least, total / share)).select(other).collect()]
+    same = F.col(key) == F.col(other)
+    if not hot:
+        return left.join(right, same)
+    few = F.broadcast(right.filter(F.col(other).isin(hot)))
+    return left.filter(~F.col(key).isin(hot)).join(right, same).union(left.filter(F.col(key).isin(hot)).join(few, same))
+
+
 class Scratch:
     """Tables written to a folder of their own in the shared folder, which goes when they have been used."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.folder, self.tables = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4()}", 0
+        self.dropped = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{self.tables}"
@@ -68,9 +89,16 @@ class Scratch:
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_only(self, df: DataFrame) -> DataFrame:
+        """``df`` kept, and the tables before it gone."""
+        out = self.keep(df)
+        for i in range(self.dropped, self.tables - 1):
+            remove(self.spark, f"{self.folder}/{i}")
+        self.dropped = self.tables - 1
+        return out
+
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.folder)
 
 
 def whole_text(text: Column | str = "text") -> Column:

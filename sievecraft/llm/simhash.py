@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, saved, unpacked
+from .common import join_unique, packed, saved, unpacked
 from .components import components
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -197,19 +197,19 @@ def stars(nodes: DataFrame, masks: list[int], radius: int, tree_size: int = 4096
 
 
 def groups(prints: DataFrame, radius: int = 4, masks: list[int] | None = None, tree_size: int = 4096) -> DataFrame:
-    """fp, low (least id that has it), component_id of every distinct fingerprint of ``prints`` (doc_id, fp)."""
-    nodes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    """fp, n (rows that have it), low (their least id), component_id of every distinct fingerprint of ``prints`` (doc_id, fp)."""
+    nodes = saved(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")))
     roots = components(stars(nodes, masks or choose_masks(nodes.count(), radius), radius, tree_size))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("low").alias("component_id")).withColumnRenamed("root", "of")
-    return rooted.join(ids, rooted["root"] == ids["of"]).select("fp", "low", "component_id")
+    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "n", "low", F.coalesce("root", "fp").alias("root"))
+    ids = saved(rooted.groupBy(F.col("root").alias("of")).agg(F.min("low").alias("component_id"), F.count("*").alias("members")))
+    return join_unique(rooted, "root", ids, "of", "members").select("fp", "n", "low", "component_id")
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fp, component_id of every row of ``docs``."""
     prints = saved(fingerprints(docs, size))
-    found = groups(prints, radius).select(F.col("fp").alias("of"), "component_id")
-    return prints.join(found, prints["fp"] == found["of"]).select("doc_id", "fp", "component_id")
+    found = saved(groups(prints, radius).select(F.col("fp").alias("of"), "n", "component_id"))
+    return join_unique(prints, "fp", found, "of", "n").select("doc_id", "fp", "component_id")
 
 
 # --- groups by the share of common shingles
@@ -375,8 +375,8 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radi
     members = texts.join(met, F.col("doc_id") == F.col("its_low")).select("root", "n", "id", _shingle_set(size)("text").alias("own"))
     alike = components(_alike(members, similarity, part_size))
     rooted = nodes.join(alike.withColumnRenamed("root", "to"), nodes["id"] == F.col("node"), "left").select("content", "n_rows", "low", "id", F.coalesce("to", "id").alias("root"))
-    ids = rooted.groupBy(F.col("root").alias("of")).agg(F.min("low").alias("component_id"))
-    return rooted.join(ids, F.col("root") == F.col("of")).select("content", "n_rows", "low", "id", "root", "component_id")
+    ids = saved(rooted.groupBy(F.col("root").alias("of")).agg(F.min("low").alias("component_id"), F.count("*").alias("members")))
+    return join_unique(rooted, "root", ids, "of", "members").select("content", "n_rows", "low", "id", "root", "component_id")
 
 
 def stage(docs: DataFrame) -> DataFrame:

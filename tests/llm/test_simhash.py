@@ -146,3 +146,28 @@ def test_the_radius_loses_fewer_links_than_the_bands():
     radius = inspect.signature(simhash.similar_groups).parameters["radius"].default
     beyond = sum(math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(radius + 1, 65))
     assert p == 3 / 16 and beyond < 0.1 * (1 - 0.8**4) ** 20
+
+
+def test_hot_keys_are_joined_by_broadcast(spark):
+    from sievecraft.llm.common import join_unique
+
+    left = spark.createDataFrame([(i, 0 if i % 3 else i) for i in range(900)], "x long, k long")
+    right = left.groupBy(F.col("k").alias("o")).agg(F.count("*").alias("n"), F.max("x").alias("m"))
+    plain = sorted(map(tuple, left.join(right, F.col("k") == F.col("o")).collect()))
+    joined = join_unique(left, "k", right, "o", "n", share=10, least=50)
+    assert sorted(map(tuple, joined.collect())) == plain and "Union" in joined._jdf.queryExecution().toString()
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    from sievecraft.llm.common import Scratch
+
+    scratch = Scratch(spark)
+    for i in range(3):
+        scratch.keep(spark.range(i))
+    last = scratch.keep_only(spark.range(7))
+    here = scratch.folder.removeprefix("file:")
+    assert last.count() == 7 and os.listdir(here) == ["3"]
+    scratch.drop()
+    assert not os.path.exists(here)
