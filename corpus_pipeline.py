@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from sievecraft.llm import lines, packing, quality, secrets, simhash
-from sievecraft.llm.common import shared_folder
+from sievecraft.llm.common import remove, shared_folder
 from sievecraft.shipping import ship
 
 
@@ -66,8 +66,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before is not None:  # read by the next stage, which is written now
+            remove(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
