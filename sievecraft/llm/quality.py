@@ -11,6 +11,8 @@ empty result; other columns of the table pass through ``stage`` untouched, whate
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,19 +101,27 @@ def line_fails(line: Column, rules: Rules) -> Column:
     """Punctuation, navigation and boilerplate rules for one line that has a word; what is rare is asked first."""
     n = lambda: F.size(words(line))
     separators = F.length(line) - F.length(F.translate(line, "|»›•", ""))
-    phrase, low = F.lit(False), F.lower(line)
-    for x in rules.boilerplate:
-        phrase = phrase | low.contains(x)
     return (
         (line.rlike(f"[{SYMBOLS}]") & (symbol_count(line) * 100 > word_chars(line) * rules.max_symbol_percent))
         | (line.rlike("[|»›•]") & (separators >= rules.nav_separators) & (n() <= (separators + 1) * rules.nav_words))
-        | ((line.contains("!!") | line.contains("??") | line.contains("!?") | line.contains("?!")) & (F.regexp_count(line, F.lit("[!?]{2}")) * 100 > n() * rules.max_bang_percent))
-        | (phrase & (n() <= rules.boilerplate_words))
+        | (_marks(line) & (F.regexp_count(line, F.lit("[!?]{2}")) * 100 > n() * rules.max_bang_percent))
+        | (_phrases(line, rules) & (n() <= rules.boilerplate_words))
     )
 
 
+def _marks(text: Column) -> Column:
+    return text.contains("!!") | text.contains("??") | text.contains("!?") | text.contains("?!")
+
+
+def _phrases(text: Column, rules: Rules) -> Column:
+    return let(F.lower(text), lambda low: reduce(or_, (low.contains(x) for x in rules.boilerplate), F.lit(False)))
+
+
 def failing(text: Column, rules: Rules) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: x.rlike(_WORD) & line_fails(x, rules))
+    """The lines that fail; a text without anything that a rule looks for is not cut into lines."""
+    suspect = text.rlike(f"[{SYMBOLS}»›•]") | _marks(text) | _phrases(text, rules)
+    none = F.expr("cast(array() as array<string>)")
+    return F.when(suspect, F.filter(F.split(text, "\n"), lambda x: x.rlike(_WORD) & line_fails(x, rules))).otherwise(none)
 
 
 def clean_lines(docs: DataFrame, rules: Rules = Rules(), text: str = "text", prefix: str = "quality_") -> DataFrame:
