@@ -19,7 +19,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VERSION = "{}.{}".format(*sys.version_info)
-#: Layout and comments are not part of the structure.
+#: Kinds of tokens that are not part of the structure, and those that stand for their kind.
 _LAYOUT = frozenset((tokenize.ENCODING, tokenize.ENDMARKER, tokenize.NEWLINE, tokenize.NL, tokenize.INDENT, tokenize.DEDENT, tokenize.COMMENT))
 _GENERAL = {tokenize.NAME: "NAME", tokenize.STRING: "STRING", tokenize.NUMBER: "NUMBER"}
 
