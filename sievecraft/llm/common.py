@@ -111,6 +111,34 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def running(items: Column, start: Column, none: Column, step, over=None, block: int = 256) -> tuple[Column, Column]:
+    """What ``step(carry, item, given)`` gives, one item after another, as (found, carry at the end); step returns (carry, array
+    of what it found).
+
+    Items go in blocks, so that what has been found is copied once for each block and not for each item.  ``over(carry,
+    items of the block)`` is computed once for each block and given to step.
+    """
+
+    def inner(part: Column, carry: Column, given: Column) -> Column:
+        def one(state: Column, x: Column) -> Column:
+            after, found = step(state["carry"], x, given)
+            return F.struct(after.alias("carry"), F.concat(state["found"], found).alias("found"))
+
+        return F.aggregate(part, F.struct(carry.alias("carry"), none.alias("found")), one)
+
+    def outer(state: Column, k: Column) -> Column:
+        def of(part: Column) -> Column:
+            given = over(state["carry"], part) if over else F.lit(0)
+            done = let(given, lambda g: inner(part, state["carry"], g))
+            return let(done, lambda r: F.struct(r["carry"].alias("carry"), F.concat(state["found"], F.array(r["found"])).alias("found")))
+
+        return let(F.slice(items, k * block + 1, F.lit(block)), of)
+
+    blocks = F.when(F.size(items) > 0, F.sequence(F.lit(0), F.floor((F.size(items) - 1) / block).cast("int"))).otherwise(F.expr("cast(array() as array<int>)"))
+    done = F.aggregate(blocks, F.struct(start.alias("carry"), F.slice(F.array(none), 1, F.lit(0)).alias("found")), outer)
+    return F.flatten(done["found"]), done["carry"]
+
+
 def shards(df: DataFrame, size: Column, per_shard: int) -> int:
     """How many shards of about ``per_shard`` units the rows of ``df`` make; one at least."""
     total = df.agg(F.sum(size.cast("double"))).first()[0] or 0

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import packed, saved, unpacked, whole_text
+from .common import let, packed, running, saved, unpacked, whole_text
 
 
 def _either_case(word: str) -> str:
@@ -71,14 +71,14 @@ def find(text: Column, kind: str, pattern: str, group: int, least: int) -> Colum
     empty = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,value:string>>)")
     parts = F.arrays_zip(F.split(text, pattern).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("all"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
+    def step(at: Column, x: Column, given: Column) -> tuple[Column, Column]:
+        start = at + F.length(x["gap"])
         end = start + F.length(x["all"])
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
         good = x["all"].isNotNull() & (F.length(x["value"]) >= least)
-        return F.struct(F.coalesce(end, start).alias("at"), F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"))
+        return F.coalesce(end, start), F.when(good, F.array(span)).otherwise(empty)
 
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda s: s["found"])
+    found = let(parts, lambda p: running(p, F.lit(0), empty, step)[0])
     return F.when(text.rlike(pattern), found).otherwise(empty)
 
 
@@ -142,12 +142,17 @@ def redact(docs: DataFrame, own: Ownership = Ownership(), mark: str = "<secret>"
     bare = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     spans = F.when(F.col("live").isNull(), bare(F.col("base"))).otherwise(F.sort_array(F.concat(bare(F.col("base")), bare(F.col("live")))))
 
-    def step(state: Column, x: Column) -> Column:
-        fresh = x["start"] >= state["at"]
-        text = F.when(fresh, F.concat(state["text"], F.substring(F.col("t"), state["at"] + 1, x["start"] - state["at"]), F.lit(mark))).otherwise(state["text"])
-        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), text.alias("text"))
+    def stretch(at: Column, part: Column) -> Column:
+        """The text from ``at`` to the end of a block of spans, so that each span is cut from little."""
+        last = F.array_max(F.transform(part, lambda x: x["end"]))
+        return F.struct(at.alias("from"), F.substring(F.col("t"), at + 1, F.greatest(last - at, F.lit(0))).alias("text"))
 
-    clean = F.aggregate(F.col("spans"), F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), step, lambda s: F.concat(s["text"], F.substring(F.col("t"), s["at"] + 1, F.length("t"))))
+    def step(at: Column, x: Column, given: Column) -> tuple[Column, Column]:
+        piece = F.concat(F.substring(given["text"], at - given["from"] + 1, x["start"] - at), F.lit(mark))
+        return F.greatest(at, x["end"]), F.when(x["start"] >= at, F.array(piece)).otherwise(F.expr("cast(array() as array<string>)"))
+
+    pieces, end = running(F.col("spans"), F.lit(0), F.expr("cast(array() as array<string>)"), step, stretch)
+    clean = F.concat(F.array_join(pieces, ""), F.substring(F.col("t"), end + 1, F.length("t")))
     # texts are searched again after the join, so that only whole rows are shuffled
     done = with_live(keyed, live).withColumn("t", t).withColumn("base", base_spans(F.col("t"))).withColumn("spans", spans)
     return unpacked(done, docs.columns, F.size("spans") > 0, clean)

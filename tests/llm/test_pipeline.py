@@ -52,10 +52,11 @@ def test_clean_documents_stay(spark, tmp_path):
     assert {(r.doc_id, r.text) for r in frame.collect()} == {(r[0], r[1]) for r in rows}
 
 
-def test_entry_without_the_subpackage(tmp_path):
-    """Without these folders the rest imports."""
+@pytest.mark.parametrize("also", [(), ("corpus_pipeline.py",)])
+def test_entry_without_the_subpackage(tmp_path, also):
+    """Without these folders the rest imports, whether the pipeline over them is there or not."""
     import shutil
 
-    shutil.copytree(REPO, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    shutil.copytree(REPO, tmp_path / "r", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", *also))
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(k.startswith('op') or k == 'pipeline' for k in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path / "r", check=True, env={"PYTHONPATH": str(tmp_path / "r"), "PATH": "/usr/bin:/bin"})
