@@ -26,8 +26,16 @@ def setup_logging(level: str, work_dir: str | None = None) -> logging.Logger:
     if path and scheme == "file":
         Path(path).mkdir(parents=True, exist_ok=True)
         handlers.append(logging.FileHandler(Path(path) / "sievecraft.log", encoding="utf-8"))
-    logging.basicConfig(level=level, format="%(asctime)s %(levelname)s %(message)s", handlers=handlers, force=True)
-    return logging.getLogger("sievecraft")
+    logger = logging.getLogger("sievecraft")
+    logger.setLevel(level)
+    logger.propagate = False
+    for old in list(logger.handlers):
+        logger.removeHandler(old)
+        old.close()
+    for handler in handlers:
+        handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+        logger.addHandler(handler)
+    return logger
 
 
 def landed_files(spark: SparkSession, folder: str, cfg):
