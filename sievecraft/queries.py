@@ -143,7 +143,7 @@ def multi_membership(spark: SparkSession, d: str) -> DataFrame:
     names = _hits(spark, d).groupBy("full_name").agg(F.sort_array(F.collect_set(label)).alias("query_names"))
     pool = names.join(_read(spark, d, "part"), F.col("full_name") == F.col("p_partkey")).select(F.concat("p_name", F.lit("/"), "p_partkey").alias("full_name"), F.floor("p_retailprice").alias("stars"), "query_names")
     queries = [Query(f"q{i}", "", w) for i, w in enumerate(QUERY_WEIGHTS, 1)]
-    return sampling.select_repositories(pool, queries, Sampling("stratified", 60, 500, SEED, True, (Bucket("high", 950, None, 0.5), Bucket("low", 0, 949, 0.5)))).select("full_name", "stars", F.array_join("query_names", ",").alias("query_names"))
+    return sampling.select_repositories(pool, queries, Sampling("stratified", 60, 500, SEED, True, (Bucket("high", 950, None, 0.5), Bucket("low", 0, 949, 0.5)))).select("full_name", "stars", "query_names")
 
 
 def _orders(spark: SparkSession, d: str) -> DataFrame:
@@ -230,7 +230,7 @@ QUERIES = {
     "sample_top": _strategy("top"),
     "sample_random": _strategy("random"),
     "sample_stratified": _strategy("stratified"),
-    "sample_multi_membership": multi_membership,
+    "sample_multi_membership": lambda s, d: multi_membership(s, d).withColumn("query_names", F.array_join("query_names", ",")),
     "merge_hits": lambda s, d: repositories.merge_hits(_hits(s, d)),
     "unfinished_candidates": unfinished_candidates,
     "upsert_candidates": upsert_candidates,
