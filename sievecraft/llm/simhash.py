@@ -236,7 +236,7 @@ def band_keys(least: np.ndarray, bands: int) -> list[int]:
 
 
 def _contents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, content (of the lower-cased words), fp, bands, marks (a byte of each min-hash) of every row."""
+    """doc_id, raw (a hash of the text), content (of the lower-cased words), fp, bands, marks (a byte of each min-hash) of every row."""
 
     @F.pandas_udf("struct<content binary, fp long, bands array<long>, marks binary>")
     def of(texts: pd.Series) -> pd.DataFrame:
@@ -251,7 +251,8 @@ def _contents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             out.append((content, *seen[content]))
         return pd.DataFrame(out, columns=["content", "fp", "bands", "marks"])
 
-    return docs.select("doc_id", of(F.coalesce("text", F.lit(""))).alias("x")).select("doc_id", "x.*")
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias("raw"), of(text).alias("x")).select("doc_id", "raw", "x.*")
 
 
 def _candidates(keys: DataFrame, marks: DataFrame, radius: int, least_equal: int, part_size: int) -> DataFrame:
@@ -322,11 +323,15 @@ def _alike(members: DataFrame, similarity: float, part_size: int) -> DataFrame:
         held: dict[int, list[int]] = {}  # of the part that is searched: shingle to places
         ids: list[int] = []
         sizes: list[int] = []
+        last = None
         for batch in batches:
             for root, low, high, part, id_, raw in zip(*(batch[c].tolist() for c in ("root", "low", "high", "part", "id", "own"))):
                 if (root, low, high) != group:
                     out.add(union)
                     group, union, held, ids, sizes = (root, low, high), Union(), {}, [], []
+                elif id_ == last:  # rows that repeat
+                    continue
+                last = id_
                 wide = np.zeros((len(raw) // _HASH, 8), np.uint8)
                 wide[:, :_HASH] = np.frombuffer(raw, np.uint8).reshape(-1, _HASH)
                 own = wide.view("<u8").ravel().tolist()
@@ -349,7 +354,8 @@ def _alike(members: DataFrame, similarity: float, part_size: int) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radius: int = 28, bands: int = 20, rows: int = 4, least_equal: int = 46, tree_size: int = 4096, part_size: int = 1000) -> DataFrame:
-    """content, n_rows, id, component_id of every distinct content (lower-cased words) of ``docs``.
+    """content, n_rows, id, component_id of every distinct content (lower-cased words) of ``docs``; of each component that
+    with the least document id leads.
 
     Two contents are linked if their sets of ``size``-word shingles have at least ``similarity`` in common (of those in
     either).  All that share a band of min-hashes are a shard; its BK-trees find the fingerprints within the radius, and of
@@ -361,28 +367,36 @@ def similar_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, radi
     equal min-hashes 1.3 in a million.
     """
     found = saved(_contents(docs, size, bands, rows))
-    # a content's id is its least document id; one without any gets a number of its own
-    contents = found.groupBy("content").agg(F.min("doc_id").alias("low"), F.count("*").alias("n_rows"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+    # a content's id is its least document id; one without any, or whose id other contents have too, gets a number of its own
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "raw")).alias("least")
+    contents = found.groupBy("content").agg(least, F.count("*").alias("n_rows"), F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.first("marks").alias("marks"))
+    contents = contents.withColumns({"low": F.col("least.doc_id"), "raw": F.col("least.raw")}).drop("least")
     nodes = saved(contents.withColumn("id", F.coalesce(F.col("low").cast("long"), F.xxhash64("content"))))
+    twice = saved(nodes.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("id").alias("taken")))
+    if not twice.isEmpty():
+        own = F.when(F.col("taken").isNull(), F.col("id")).otherwise(F.xxhash64("content"))
+        nodes = saved(nodes.join(twice, F.col("id") == F.col("taken"), "left").withColumn("id", own).drop("taken"))
     keys = nodes.select(F.posexplode("bands").alias("band", "key"), "fp", "id")
     near = components(_candidates(keys, nodes.select(F.col("id").alias("of"), "marks"), radius, least_equal, tree_size))
     near = saved(near.union(near.select("root", "root").distinct()))
     sizes = near.groupBy(F.col("root").alias("of")).agg(F.count("*").alias("n"))
     met = near.join(sizes, F.col("root") == F.col("of")).select("node", "root", "n")
-    met = met.join(nodes.select("id", "content", "low"), F.col("node") == F.col("id")).select("root", "n", "id", F.col("content").alias("its"), F.col("low").alias("its_low"))
+    met = met.join(nodes.select("id", "low", "raw"), F.col("node") == F.col("id")).select("root", "n", "id", F.col("low").alias("its_low"), F.col("raw").alias("its_raw"))
     # the text of one row of each content: that of its least id; rows that repeat are the same text
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    members = texts.join(met, F.col("doc_id") == F.col("its_low")).select("root", "n", "id", _shingle_set(size)("text").alias("own"))
+    members = texts.join(met, F.col("doc_id").eqNullSafe(F.col("its_low")) & (F.xxhash64("text") == F.col("its_raw"))).select("root", "n", "id", _shingle_set(size)("text").alias("own"))
     alike = components(_alike(members, similarity, part_size))
     rooted = nodes.join(alike.withColumnRenamed("root", "to"), nodes["id"] == F.col("node"), "left").select("content", "n_rows", "low", "id", F.coalesce("to", "id").alias("root"))
-    ids = saved(rooted.groupBy(F.col("root").alias("of")).agg(F.min("low").alias("component_id"), F.count("*").alias("members")))
-    return join_unique(rooted, "root", ids, "of", "members").select("content", "n_rows", "low", "id", "root", "component_id")
+    first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "content")).alias("first")
+    ids = saved(rooted.groupBy(F.col("root").alias("of")).agg(first, F.count("*").alias("members")))
+    joined = join_unique(rooted, "root", ids, "of", "members")
+    return joined.select("content", "n_rows", "low", "id", "root", F.col("first.low").alias("component_id"), (F.col("content") == F.col("first.content")).alias("leads"))
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """One document of each group of similar documents: that with the least id."""
     groups = saved(similar_groups(docs))
-    kept = groups.filter(F.col("id") == F.col("root")).select(F.col("content").alias("kept_content"), F.col("low").alias("kept_low"), "n_rows")
+    kept = groups.filter("leads").select(F.col("content").alias("kept_content"), F.col("low").alias("kept_low"), "n_rows")
 
     @F.pandas_udf("binary")
     def content(texts: pd.Series) -> pd.Series:

@@ -115,6 +115,23 @@ def test_stage_keeps_one_of_each_group(docs, clashing, rows):
     assert all(r.fp == "own fp" for r in simhash.stage(clashing).collect())
 
 
+def test_stage_with_null_ids_and_ids_of_several_texts(spark):
+    """Near copies without an id go too; texts that share an id are told apart; a row that repeats very often is one."""
+    rnd = random.Random(6)
+
+    def copies(n):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
+        return [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in range(10, 10 + 40 * n, 40)]
+
+    a, b, c, d, e = (copies(3) for _ in range(5))
+    rows = [(5, a[0]), (5, b[0]), (3, a[1]), (4, b[1]), (None, a[2]), (None, c[0]), (None, c[1]), (9, c[2]), (None, d[0]), (None, d[1])]
+    rows += [(20, e[0])] * 300 + [(21, e[1]), (None, e[1].upper()), (5, e[2])]
+    expected = Counter(min((x for x in g if x is not None), default=None) for g in brute_groups(rows).values())
+    assert expected == {3: 1, 4: 1, 9: 1, None: 1, 5: 1}
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(r.doc_id for r in simhash.stage(frame).collect()) == expected
+
+
 def test_parts_of_a_group_lose_no_link(docs):
     whole = {(r.id, r.root) for r in simhash.similar_groups(docs).collect()}
     cut = {(r.id, r.root) for r in simhash.similar_groups(docs, tree_size=2, part_size=2).collect()}
