@@ -289,7 +289,9 @@ def drop_lines(docs: DataFrame, index: LineIndex) -> DataFrame:
         return pd.DataFrame(out, columns=["n", "dropped", "text"])
 
     gone = index.dropped().select(F.col("doc_id").alias("gone_id"), "gone")
-    joined = packed(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").withColumn("lines", kept(whole_text("row_.text"), "gone"))
+    # as if not deterministic, so that a filter on what it gives does not run it a second time, in workers of its own
+    once = kept.asNondeterministic()
+    joined = packed(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").withColumn("lines", once(whole_text("row_.text"), "gone"))
     return joined.select("row_", "doc_id", F.col("lines.n").alias("lines_n"), F.col("lines.dropped").alias("lines_dropped"), F.col("lines.text").alias("lines_text"))
 
 
