@@ -402,7 +402,8 @@ def stage(docs: DataFrame) -> DataFrame:
     def content(texts: pd.Series) -> pd.Series:
         return pd.Series([xxhash.xxh3_128_digest(b" ".join(t.encode().lower().split())) for t in texts], dtype=object)
 
-    out = packed(docs).withColumn("own_content", content(F.coalesce("row_.text", F.lit(""))))
+    # never null, so that the join needs no filter on it, which would run the function a second time
+    out = packed(docs).withColumn("own_content", F.coalesce(content(F.coalesce("row_.text", F.lit(""))), F.lit(b"")))
     out = out.join(kept, (F.col("own_content") == F.col("kept_content")) & F.col("doc_id").eqNullSafe(F.col("kept_low")))
     # rows with the same id and content are left by repeats only; they are split off, so that the rest isn't shuffled
     single = out.filter("n_rows = 1").select("row_")
