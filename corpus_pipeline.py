@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the stage befo
 Parquet and read again for the next one.  All but the last return the columns of ``documents``.
 
 Results for special cases, in any stage: an empty table gives an empty one; columns of any name pass through whole rows
-untouched, but for text and n_chars where the text changes; null ids are documents of their own.  Null and empty texts
+untouched, but for text and n_chars where the text changes; null ids are documents of their own, which go where they
+are near copies of others.  Null and empty texts
 are rejected by the quality rules; given to later stages, they lose no line, are near-duplicates of each other, hold no
 secret and are packed as their end token.  Rows that repeat are one document to line and near deduplication (of equal
 rows one stays) and rows of their own elsewhere.  Of tied documents that with the least id stays, of equal lines those of
